@@ -129,7 +129,7 @@ def verification_sheet(
         F.count_if("counted").alias("recomputed_n"),
         F.avg(F.when(F.col("counted"), F.col(score))).alias("recomputed_mean"),
     )
-    matches = (F.abs(F.col("recomputed_mean") - F.col("published_mean")) < 0.0051) & (
+    matches = (F.bround("recomputed_mean", 2) == F.col("published_mean")) & (
         F.col("recomputed_n") == F.col("published_n")
     )
     return history.join(recomputed, [key, "rank"]).withColumn(

@@ -61,9 +61,8 @@ def _union(parts: Sequence[DataFrame]) -> DataFrame:
 
 def _event_sets(side: DataFrame, ident: str, events: DataFrame, on: Sequence[str]) -> DataFrame:
     """(block, id, sorted distinct events). A set is bounded by days x scores, not by rows."""
-    distinct = events.select(ident, F.struct(*on).alias("event")).distinct()
     return (
-        side.join(distinct, ident)
+        side.join(events.select(ident, F.struct(*on).alias("event")), ident)
         .groupBy("block", ident)
         .agg(F.sort_array(F.collect_set("event")).alias("events"))
     )
@@ -171,14 +170,18 @@ def shared_counts(
 ) -> DataFrame:
     """Number of common events of given pairs, zero included. Linear in the pairs' events."""
     on = list(events.on)
-    mine = pairs.select(a_id, b_id).join(events.a.select(a_id, *on).distinct(), a_id, "left")
-    theirs = events.b.select(b_id, *on, F.lit(1).alias("_hit")).distinct()
+    ids = pairs.select(a_id, b_id)
+    seen = _union([
+        ids.join(frame, ident).select(a_id, b_id, *on, F.lit(side).alias("_side"))
+        for ident, frame, side in ((a_id, events.a, 1), (b_id, events.b, 2))
+    ])
     counts = (
-        mine.join(theirs, [b_id, *on], "left")
+        seen.groupBy(a_id, b_id, *on)
+        .agg(F.bit_or("_side").alias("_sides"))
         .groupBy(a_id, b_id)
-        .agg(F.count("_hit").cast("int").alias(name))
+        .agg(F.count_if(F.col("_sides") == 3).cast("int").alias(name))
     )
-    return pairs.join(counts, [a_id, b_id])
+    return pairs.join(counts, [a_id, b_id], "left").withColumn(name, F.coalesce(name, F.lit(0)))
 
 
 def _substrings(text: Column, min_len: int) -> Column:
