@@ -12,7 +12,7 @@ key columns. Candidate pairs are never listed block by block:
 NULL key parts never match anything.
 """
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 from functools import reduce
 
@@ -21,6 +21,7 @@ from pyspark.sql import functions as F
 
 from .. import fixed_values as V
 from ..functions.text import either_contains
+from ..session import materialise
 from .select import asc, dedupe_prefer, desc
 
 
@@ -55,6 +56,15 @@ def _blocked(df: DataFrame, ident: str, cols: Sequence[str], *extra: str) -> Dat
     )
 
 
+def _tier_blocks(df: DataFrame, ident: str, tiers: Sequence[tuple[str, Sequence[str]]]) -> DataFrame:
+    """One row per entity and tier whose key is complete."""
+    blocks = F.array(*[
+        F.struct(F.lit(i).alias("_tier"), block_of(cols).alias("block"))
+        for i, (_, cols) in enumerate(tiers)
+    ])
+    return df.select(ident, F.inline(blocks)).filter(F.col("block").isNotNull())
+
+
 def _union(parts: Sequence[DataFrame]) -> DataFrame:
     return reduce(lambda x, y: x.unionByName(y), parts)
 
@@ -131,38 +141,39 @@ def tier_match(
     """Match on the tightest key that names one B, or one B after counting shared events.
 
     Ambiguity is judged per A: many As may share one B. B is never used up, so the tiers do
-    not depend on each other; all are evaluated and the tightest success of each A is kept.
+    not depend on each other: every entity carries its block of every tier, all tiers go
+    through the same joins at once, and the tightest success of each A is kept.
     """
-    found, open_rows, open_members = [], [], []
-    for i, (name, cols) in enumerate(tiers):
-        ka, kb = _blocked(a, a_id, cols), _blocked(b, b_id, cols)
-        sizes = kb.groupBy("block").agg(
-            F.count(F.lit(1)).alias("n_candidates"), F.min(b_id).alias("_only")
-        )
-        hits = ka.join(sizes, "block")
-        tier = [F.lit(i).alias("_tier"), F.lit(name).alias("tier")]
-
-        exact = hits.filter("n_candidates = 1").select(
-            a_id, F.col("_only").alias(b_id), F.lit(None).cast("int").alias("n_shared_events"),
-            F.lit("exact").alias("confidence"), F.lit(name).alias("match_method"), tier[0],
-        )
-        several = hits.filter("n_candidates > 1").select(a_id, "block", "n_candidates")
-        members = kb.join(several.select("block").distinct(), "block", "left_semi")
-        by_events = strict_winner(
-            several.select(a_id, "block"), members, a_id, b_id, events, min_shared
-        ).select(
-            a_id, b_id, "n_shared_events", F.lit("resolved_by_events").alias("confidence"),
-            F.lit(f"{name}+events").alias("match_method"), tier[0],
-        )
-        found += [exact, by_events]
-        open_rows.append(several.select(a_id, *tier, "block", "n_candidates"))
-        open_members.append(members.select(*tier, "block", b_id))
+    ka, kb = _tier_blocks(a, a_id, tiers), _tier_blocks(b, b_id, tiers)
+    sizes = kb.groupBy("_tier", "block").agg(
+        F.count(F.lit(1)).alias("n_candidates"), F.min(b_id).alias("_only")
+    )
+    hits = ka.join(sizes, ["_tier", "block"])
+    label = F.element_at(F.array(*[F.lit(name) for name, _ in tiers]), F.col("_tier") + 1)
 
-    matched = dedupe_prefer(_union(found), [a_id], ["_tier", b_id]).select(
+    exact = hits.filter("n_candidates = 1").select(
+        a_id, "_tier", F.col("_only").alias(b_id), F.lit(None).cast("int").alias("n_shared_events"),
+        F.lit("exact").alias("confidence"), label.alias("match_method"),
+    )
+    several = hits.filter("n_candidates > 1").select(a_id, "_tier", "block", "n_candidates")
+    members = kb.join(
+        several.select("_tier", "block").distinct(), ["_tier", "block"], "left_semi"
+    )
+    # Blocks of different tiers must not meet in the event join.
+    apart = F.struct("_tier", "block").alias("block")
+    by_events = strict_winner(
+        several.select(a_id, apart), members.select(b_id, apart), a_id, b_id, events, min_shared
+    ).withColumn("_tier", F.col("block._tier")).select(
+        a_id, "_tier", b_id, "n_shared_events", F.lit("resolved_by_events").alias("confidence"),
+        F.concat(label, F.lit("+events")).alias("match_method"),
+    )
+    matched = dedupe_prefer(_union([exact, by_events]), [a_id], ["_tier", b_id]).select(
         a_id, b_id, "match_method", "confidence", "n_shared_events"
     )
-    unresolved = _union(open_rows).join(matched.select(a_id), a_id, "left_anti")
-    return TierMatches(matched, unresolved, _union(open_members))
+    unresolved = several.join(matched.select(a_id), a_id, "left_anti").select(
+        a_id, label.alias("tier"), "block", "n_candidates"
+    )
+    return TierMatches(matched, unresolved, members.select(label.alias("tier"), "block", b_id))
 
 
 def shared_counts(
@@ -244,15 +255,17 @@ def corroborated_match(
     a: DataFrame, b: DataFrame, a_id: str, b_id: str, block_cols: Sequence[str],
     a_name: str, b_name: str, events: Events, min_shared: int = V.MIN_SHARED_EVENTS,
     min_len: int = 1, pair_limit: int = 256,
+    stage: Callable[[DataFrame], DataFrame] = materialise,
 ) -> DataFrame:
     """Same address block, and names that contain each other or enough shared events.
 
     Accepted when exactly one B qualifies. Uniqueness needs only the smallest and largest
-    qualifying B id: one B qualifies when the two are equal.
+    qualifying B id: one B qualifies when the two are equal. Both blocked sides feed several
+    joins, so ``stage`` writes them once.
     """
-    ka = _blocked(a, a_id, block_cols, a_name).withColumnRenamed(a_name, "a_name")
+    ka = stage(_blocked(a, a_id, block_cols, a_name).withColumnRenamed(a_name, "a_name"))
     kb = _blocked(b, b_id, block_cols, b_name).withColumnRenamed(b_name, "b_name")
-    kb = kb.join(ka.select("block").distinct(), "block", "left_semi")
+    kb = stage(kb.join(ka.select("block").distinct(), "block", "left_semi"))
 
     by_name = ka.join(_names_that_contain(ka, kb, b_id, min_len, pair_limit), ["block", "a_name"])
 

@@ -5,8 +5,16 @@ from pyspark.sql import types as T
 from . import fixed_values as V
 
 
+_TYPES = {
+    "string": T.StringType(), "int": T.IntegerType(), "double": T.DoubleType(),
+    "boolean": T.BooleanType(), "date": T.DateType(),
+}
+
+
 def _schema(spec: str) -> T.StructType:
-    return T.StructType.fromDDL(spec)
+    """Schema from "name type, ..." without needing a session."""
+    fields = [item.split() for item in spec.split(",")]
+    return T.StructType([T.StructField(name, _TYPES[kind]) for name, kind in fields])
 
 
 RAW_EXPORT = _schema(
