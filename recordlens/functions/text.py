@@ -5,8 +5,9 @@ from pyspark.sql import functions as F
 
 from .. import fixed_values as V
 
-# Whitespace in the Unicode sense, spelled so that every regex engine reads it alike.
-WHITESPACE = r"[\t\n\f\r\p{Z}]+"
+# Runs of Unicode whitespace that are not already one plain space; in ordinary text that
+# leaves almost nothing to replace.
+WHITESPACE = r" *[\t\n\f\r\p{Z}&&[^ ]][\t\n\f\r\p{Z}]*| {2,}"
 NOT_ALNUM = "[^a-z0-9]+"
 # One word for title casing: letters, digits and underscores, joined across an apostrophe,
 # full stop or colon only when letters stand on both sides ("O'Brien", "L.C.").

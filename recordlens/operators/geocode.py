@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions.geo import spiral_point
 from .select import dedupe_prefer
-from .spread import group_index
+from .spread import group_index, spread_join
 
 
 def one_per_query(cache: DataFrame, key: str = "query") -> DataFrame:
@@ -42,7 +42,7 @@ def seed_cache(
         legacy.filter(F.col("latitude").isNotNull() & F.col("longitude").isNotNull()),
         ["full_address"], ["latitude", "longitude"],
     ).withColumnRenamed("full_address", legacy_key)
-    joined = addresses.join(known, legacy_key).withColumn("source", F.lit(label))
+    joined = spread_join(addresses, known, [legacy_key]).withColumn("source", F.lit(label))
     return dedupe_prefer(joined, [key], [legacy_key, *cols]).select(*cols)
 
 
@@ -78,7 +78,7 @@ def retry_pass(cache: DataFrame, results: DataFrame, label: str, key: str = "que
 def mark_cached(df: DataFrame, cache: DataFrame, key: str = "query") -> DataFrame:
     """Flag rows whose key resolves to coordinates."""
     hits = resolved(cache, key).select(key, F.lit(True).alias("mapped"))
-    return df.join(hits, key, "left").withColumn("mapped", F.coalesce("mapped", F.lit(False)))
+    return spread_join(df, hits, [key], "left").withColumn("mapped", F.coalesce("mapped", F.lit(False)))
 
 
 def unstack(df: DataFrame, lat: str, lon: str, order_by: Sequence[str]) -> DataFrame:

@@ -1,7 +1,7 @@
 """Loss-free union of record sources and attribute back-fill.
 
-Joins here attach at most one row per key. Their size is left to Spark: it broadcasts a side
-it has measured to be small, and otherwise AQE splits a hot key's partition of the fact side.
+Joins here attach at most one row per key. A side is broadcast only when Spark has measured
+it to be small; otherwise hot keys of the fact side are spread over many tasks.
 """
 
 from collections.abc import Sequence
@@ -11,12 +11,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .select import Order, dedupe_prefer
+from .spread import spread_join
 
 
 def reparent(df: DataFrame, key: str, mapping: DataFrame, old: str, new: str) -> DataFrame:
     """Replace retired ids by their live ones, in a single hop. ``old`` must be unique."""
     hop = mapping.select(F.col(old).alias(key), F.col(new).alias("_live"))
-    joined = df.join(hop, key, "left").withColumn(key, F.coalesce("_live", key))
+    joined = spread_join(df, hop, [key], "left").withColumn(key, F.coalesce("_live", key))
     return joined.select(*df.columns)
 
 
@@ -79,7 +80,7 @@ def annotate_missing(
         *on, *[F.col(src).alias(f"_fill_{dst}") for dst, src in fill.items()]
     )
     return (
-        df.join(one, list(on), "left")
+        spread_join(df, one, on, "left")
         .withColumns({dst: F.coalesce(dst, f"_fill_{dst}") for dst in fill})
         .select(*df.columns)
     )

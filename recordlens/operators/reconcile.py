@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from .. import fixed_values as V
 from ..functions.dates import week_start
+from .spread import spread_join
 
 
 def weekly_counts(
@@ -70,14 +71,14 @@ def compare_named(
     names = listed.select(name).distinct()
     plain = ~F.col(flag)
     mine = (
-        ours.join(names, name, "left_semi").groupBy(name).agg(
+        spread_join(ours, names, [name], "left_semi").groupBy(name).agg(
             F.count_if(plain).alias("our_n"),
             F.bround(F.avg(F.when(plain, F.col(value))), 2).alias("our_mean"),
             F.max(date).alias("our_latest"),
         )
     )
     other = (
-        theirs.filter(plain).join(names, name, "left_semi").groupBy(name).agg(
+        spread_join(theirs.filter(plain), names, [name], "left_semi").groupBy(name).agg(
             F.count(F.lit(1)).alias("their_n"),
             F.bround(F.avg(F.col(value)), 2).alias("their_mean"),
             F.max(date).alias("their_latest"),

@@ -23,11 +23,16 @@ from .. import fixed_values as V
 from ..functions.text import either_contains
 from ..session import materialise
 from .select import asc, dedupe_prefer, desc
+from .spread import spread_join
 
 
 @dataclass(frozen=True)
 class Events:
-    """Dated observations of both sides; ``on`` names the columns that must agree."""
+    """Dated observations of both sides; ``on`` names the columns that must agree.
+
+    Give distinct rows: then an entity has at most one row per day and score, however many
+    records it has. Copies change no result but travel through the joins.
+    """
 
     a: DataFrame
     b: DataFrame
@@ -103,9 +108,8 @@ def _shared_by_class(a_classes: DataFrame, b_classes: DataFrame, min_shared: int
 def _to_members(sets: DataFrame, classes: DataFrame, per_class: DataFrame) -> DataFrame:
     """Spread a result keyed by (block, a_rep) over every entity of the class."""
     keyed = classes.select("block", "events", F.col("low").alias("a_rep"))
-    return sets.join(keyed.join(per_class, ["block", "a_rep"]), ["block", "events"]).drop(
-        "events", "a_rep"
-    )
+    results = keyed.join(per_class, ["block", "a_rep"])
+    return spread_join(sets, results, ["block", "events"]).drop("events", "a_rep")
 
 
 def strict_winner(
@@ -148,7 +152,7 @@ def tier_match(
     sizes = kb.groupBy("_tier", "block").agg(
         F.count(F.lit(1)).alias("n_candidates"), F.min(b_id).alias("_only")
     )
-    hits = ka.join(sizes, ["_tier", "block"])
+    hits = spread_join(ka, sizes, ["_tier", "block"])
     label = F.element_at(F.array(*[F.lit(name) for name, _ in tiers]), F.col("_tier") + 1)
 
     exact = hits.filter("n_candidates = 1").select(
@@ -156,8 +160,8 @@ def tier_match(
         F.lit("exact").alias("confidence"), label.alias("match_method"),
     )
     several = hits.filter("n_candidates > 1").select(a_id, "_tier", "block", "n_candidates")
-    members = kb.join(
-        several.select("_tier", "block").distinct(), ["_tier", "block"], "left_semi"
+    members = spread_join(
+        kb, several.select("_tier", "block").distinct(), ["_tier", "block"], "left_semi"
     )
     # Blocks of different tiers must not meet in the event join.
     apart = F.struct("_tier", "block").alias("block")
@@ -183,7 +187,7 @@ def shared_counts(
     on = list(events.on)
     ids = pairs.select(a_id, b_id)
     seen = _union([
-        ids.join(frame, ident).select(a_id, b_id, *on, F.lit(side).alias("_side"))
+        spread_join(ids, frame, [ident]).select(a_id, b_id, *on, F.lit(side).alias("_side"))
         for ident, frame, side in ((a_id, events.a, 1), (b_id, events.b, 2))
     ])
     counts = (
@@ -228,7 +232,7 @@ def _names_that_contain(
         .join(bn.groupBy("block").agg(F.count(F.lit(1)).alias("_nb")), "block")
         .select("block", (F.col("_na") * F.col("_nb") <= pair_limit).alias("_small"))
     )
-    an, bn = an.join(sizes, "block"), bn.join(sizes, "block")
+    an, bn = spread_join(an, sizes, ["block"]), spread_join(bn, sizes, ["block"])
     found = ["block", "a_name", "low", "high"]
 
     small_a, small_b = an.filter("_small").drop("_small"), bn.filter("_small").drop("_small")
@@ -265,9 +269,10 @@ def corroborated_match(
     """
     ka = stage(_blocked(a, a_id, block_cols, a_name).withColumnRenamed(a_name, "a_name"))
     kb = _blocked(b, b_id, block_cols, b_name).withColumnRenamed(b_name, "b_name")
-    kb = stage(kb.join(ka.select("block").distinct(), "block", "left_semi"))
+    kb = stage(spread_join(kb, ka.select("block").distinct(), ["block"], "left_semi"))
 
-    by_name = ka.join(_names_that_contain(ka, kb, b_id, min_len, pair_limit), ["block", "a_name"])
+    named = _names_that_contain(ka, kb, b_id, min_len, pair_limit)
+    by_name = spread_join(ka, named, ["block", "a_name"])
 
     a_sets = _event_sets(ka.select(a_id, "block"), a_id, events.a, events.on)
     a_classes = _classes(a_sets, a_id)
@@ -319,7 +324,7 @@ def handoff_merge(
         .filter((F.col("_n") >= 2)
                 & ((F.col("_n") - 1) * max(min_gap, 1) <= F.datediff("_hi", "_lo")))
     )
-    kept = spans.join(feasible.select(*key), key, "left_semi")
+    kept = spread_join(spans, feasible.select(*key), key, "left_semi")
     previous = F.lag(last).over(Window.partitionBy(*key).orderBy(asc(first), asc(b_id)))
     chains = (
         kept.withColumn("_gap", F.datediff(F.col(first), previous))
@@ -329,7 +334,7 @@ def handoff_merge(
         .filter((F.col("gap_days") > 0) & (F.col("gap_days") >= min_gap))
     )
     waiting = unresolved.select(a_id, "block").join(a_info.select(a_id, guard, label), a_id)
-    taken = waiting.join(chains, key)
+    taken = spread_join(waiting, chains, key)
     matches = taken.select(
         a_id, F.col("_live").alias(b_id), F.lit("handoff").alias("match_method"),
         F.lit("retired_permit_handoff").alias("confidence"),
@@ -351,9 +356,9 @@ def guard_check(
     matched: DataFrame, a_info: DataFrame, b_info: DataFrame, a_id: str, b_id: str, guard: str
 ) -> DataFrame:
     """Flag matches whose guard values are both known and differ."""
+    known_a = matched.join(a_info.select(a_id, F.col(guard).alias("_ga")), a_id, "left")
     return (
-        matched.join(a_info.select(a_id, F.col(guard).alias("_ga")), a_id, "left")
-        .join(b_info.select(b_id, F.col(guard).alias("_gb")), b_id, "left")
+        spread_join(known_a, b_info.select(b_id, F.col(guard).alias("_gb")), [b_id], "left")
         .withColumn("crosses", F.coalesce(F.col("_ga") != F.col("_gb"), F.lit(False)))
         .drop("_ga", "_gb")
     )
@@ -366,7 +371,7 @@ def guard_demote(
     kept = checked.filter(~F.col("crosses")).drop("crosses")
     demoted = checked.filter("crosses").select(a_id, b_id)
     live = kept.select(F.col(b_id).alias("new_id")).distinct()
-    return kept, demoted, merges.join(live, "new_id", "left_semi")
+    return kept, demoted, spread_join(merges, live, ["new_id"], "left_semi")
 
 
 def unmatched_status(a: DataFrame, matched: DataFrame, a_id: str, b_id: str, first: str,

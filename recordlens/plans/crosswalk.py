@@ -15,6 +15,7 @@ from ..functions.dates import data_through
 from ..functions.text import house_num, loose_name, norm_name, norm_street
 from ..operators import resolve as R
 from ..operators.select import entity_profile
+from ..operators.spread import spread_join
 from ..session import materialise
 
 A, B = "permitID", "facility_id"
@@ -74,8 +75,8 @@ def observation_events(portal: DataFrame, ins: DataFrame) -> R.Events:
     permits = scored_portal(portal).filter(F.col("score").isNotNull())
     facilities = ins.filter(F.col("score").isNotNull())
     return R.Events(
-        permits.select(A, F.col("date").alias("day"), "score"),
-        facilities.select(B, F.col("inspection_date").alias("day"), "score"),
+        permits.select(A, F.col("date").alias("day"), "score").distinct(),
+        facilities.select(B, F.col("inspection_date").alias("day"), "score").distinct(),
         ("day", "score"),
     )
 
@@ -97,7 +98,8 @@ def build_crosswalk(
     facilities = stage(facility_profile(ins))
     opened = scored_portal(portal).agg(F.min("date")).scalar()
     active = facilities.filter(F.col("i_last") >= opened)
-    events = observation_events(portal, ins)
+    seen = observation_events(portal, ins)
+    events = R.Events(stage(seen.a), stage(seen.b), seen.on)
 
     tiers = R.tier_match(permits, active, A, B, V.MATCH_TIERS, events)
     by_key = stage(tiers.matched)
@@ -128,8 +130,8 @@ def build_crosswalk(
     shown_p, shown_i = ["p_name_raw", "p_addr_raw", "p_city", "p_zip"], ["i_name_raw", "i_addr_raw"]
     null = F.lit(None).cast("string")
     crosswalk = _union(
-        matched.join(permits.select(A, *shown_p), A, "left")
-        .join(facilities.select(B, *shown_i), B, "left")
+        spread_join(matched.join(permits.select(A, *shown_p), A, "left"),
+                    facilities.select(B, *shown_i), [B], "left")
         .withColumn("status", F.lit("matched"))
         .select(*S.CROSSWALK.fieldNames()),
         unmatched.select(

@@ -8,6 +8,7 @@ from .. import schemas as S
 from ..functions.text import alnum_key
 from ..operators.merge import annotate_missing, coalesce_attrs, reparent, union_dedupe
 from ..operators.select import first_by
+from ..operators.spread import spread_join
 from .crosswalk import portal_attributes, scored_portal
 
 ATTRS = ["restaurant_name", "address", "street", "city", "zip5"]
@@ -26,7 +27,8 @@ def merge_inspections(
     which keeps geocode keys stable. Free-text comments are never carried.
     """
     old = reparent(export, "facility_id", merges, "old_facility_id", "new_facility_id")
-    linked = scored_portal(portal).join(crosswalk.select("permitID", "facility_id"), "permitID")
+    ids = crosswalk.select("permitID", "facility_id")
+    linked = spread_join(scored_portal(portal), ids, ["permitID"])
 
     new_rows = linked.select(
         "facility_id", F.col("date").alias("inspection_date"), "score", "purpose",
@@ -46,7 +48,7 @@ def merge_inspections(
     known = first_by(old, ["facility_id"], ATTRS, ["inspection_date", "score", *ATTRS])
     seen = first_by(portal_attributes(linked), ["facility_id"], ATTRS, ["date", "inspectionID"])
     attrs = coalesce_attrs(known, seen, "facility_id", ATTRS)
-    out = rows.join(attrs, "facility_id", "left").withColumns({
+    out = spread_join(rows, attrs, ["facility_id"], "left").withColumns({
         "is_followup": F.col("purpose") == V.FOLLOW_UP, "_name": alnum_key("restaurant_name"),
     })
 

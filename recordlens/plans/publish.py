@@ -10,7 +10,7 @@ from ..functions.dates import recency_cutoff
 from ..functions.text import display_name, venue_of
 from ..operators import geocode, ranking
 from ..operators.select import first_by, latest_per_key
-from ..operators.spread import encode_dictionary
+from ..operators.spread import encode_dictionary, spread_join
 
 KEY, DATE = "facility_id", "inspection_date"
 
@@ -32,7 +32,7 @@ def located_latest(ins: DataFrame, cache: DataFrame) -> DataFrame:
     keyed = latest_scored(ins).join(counts, KEY, "left").withColumn(
         "query", geocode_query("street", "city", "zip5", "address")
     )
-    return keyed.join(geocode.resolved(cache), "query", "left")
+    return spread_join(keyed, geocode.resolved(cache), ["query"], "left")
 
 
 def map_rows(ins: DataFrame, cache: DataFrame) -> DataFrame:

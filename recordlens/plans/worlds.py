@@ -154,8 +154,8 @@ def side_events(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]
     permit = F.concat(F.lit("P"), F.col("entity").cast("string")).alias("permit_id")
     facility = F.concat(F.lit("F"), F.col("entity").cast("string")).alias("facility_id")
     return (
-        r.filter(F.col("st").isin("F", "O")).select(permit, "d", "score"),
-        r.filter(F.col("st").isin("O", "P")).select(facility, "d", "score"),
+        r.filter(F.col("st").isin("F", "O")).select(permit, "d", "score").distinct(),
+        r.filter(F.col("st").isin("O", "P")).select(facility, "d", "score").distinct(),
     )
 
 

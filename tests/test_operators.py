@@ -206,3 +206,31 @@ def test_ranking_check_sees_a_swap(spark):
     b = spark.createDataFrame([(1, "y"), (2, "x")], "rank int, k string")
     assert Q.run_checks([Q.same_ranking("r", a, b)]).first().ok is False
     assert Q.run_checks([Q.same_ranking("r", a, a)]).first().ok is True
+
+
+def test_spread_join_equals_a_plain_join(spark, monkeypatch):
+    monkeypatch.setattr(SP, "HOT_MIN_ROWS", 50)
+    facts = spark.range(6000).select(
+        F.when(F.col("id") % 3 == 0, 7).when(F.col("id") % 10 == 1, None).otherwise(F.col("id") % 40).alias("k"), "id")
+    dims = spark.range(30).select((F.col("id") + 5).alias("k"), F.col("id").alias("w"))
+    assert SP.hot_keys(facts, ["k"]).count() > 1
+    for how in ("inner", "left", "left_semi", "left_anti"):
+        plain, spread = facts.join(dims, "k", how), SP.spread_join(facts, dims, ["k"], how)
+        spread = spread.select(*plain.columns)
+        assert spread.count() == plain.count()
+        assert spread.exceptAll(plain).count() == 0
+
+
+def test_spread_join_divides_the_hot_key(spark, monkeypatch):
+    monkeypatch.setattr(SP, "HOT_MIN_ROWS", 50)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        facts = spark.range(9000).select(F.when(F.col("id") % 3 == 0, 7).otherwise(F.col("id")).alias("k"), "id")
+        dims = facts.groupBy("k").agg(F.count("*").alias("n"))
+        joined = SP.spread_join(facts, dims, ["k"]).withColumn("p", F.spark_partition_id())
+        sizes = [r["count"] for r in joined.groupBy("p").count().collect()]
+        assert len(sizes) == 8 and max(sizes) < 9000 / 8 * 1.5
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
