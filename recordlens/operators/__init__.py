@@ -1 +1,5 @@
-"""DataFrame operators. Every one is lazy and takes its column names as arguments."""
+"""DataFrame operators with column names as arguments.
+
+All are lazy, except that entity resolution and group positions write what several branches
+read to the reliable checkpoint folder (see ``session.materialise``).
+"""

@@ -26,6 +26,9 @@ from .select import asc, dedupe_prefer, desc
 from .spread import spread_join
 
 
+Stage = Callable[[DataFrame], DataFrame]
+
+
 @dataclass(frozen=True)
 class Events:
     """Dated observations of both sides; ``on`` names the columns that must agree.
@@ -114,14 +117,14 @@ def _to_members(sets: DataFrame, classes: DataFrame, per_class: DataFrame) -> Da
 
 def strict_winner(
     a: DataFrame, b: DataFrame, a_id: str, b_id: str, events: Events,
-    min_shared: int = V.MIN_SHARED_EVENTS,
+    min_shared: int = V.MIN_SHARED_EVENTS, stage: Stage = materialise,
 ) -> DataFrame:
     """For each A the B of its block with strictly the most shared events, if there is one.
 
     ``a`` and ``b`` hold (id, block). Ties are found by summing class sizes per shared count,
     so no window ever sees a whole block.
     """
-    a_sets = _event_sets(a, a_id, events.a, events.on)
+    a_sets = stage(_event_sets(a, a_id, events.a, events.on))
     a_classes = _classes(a_sets, a_id)
     b_classes = _classes(_event_sets(b, b_id, events.b, events.on), b_id)
     best = (
@@ -140,19 +143,20 @@ def strict_winner(
 def tier_match(
     a: DataFrame, b: DataFrame, a_id: str, b_id: str,
     tiers: Sequence[tuple[str, Sequence[str]]], events: Events,
-    min_shared: int = V.MIN_SHARED_EVENTS,
+    min_shared: int = V.MIN_SHARED_EVENTS, stage: Stage = materialise,
 ) -> TierMatches:
     """Match on the tightest key that names one B, or one B after counting shared events.
 
     Ambiguity is judged per A: many As may share one B. B is never used up, so the tiers do
     not depend on each other: every entity carries its block of every tier, all tiers go
-    through the same joins at once, and the tightest success of each A is kept.
+    through the same joins at once, and the tightest success of each A is kept. What several
+    branches read is written once by ``stage``.
     """
     ka, kb = _tier_blocks(a, a_id, tiers), _tier_blocks(b, b_id, tiers)
     sizes = kb.groupBy("_tier", "block").agg(
         F.count(F.lit(1)).alias("n_candidates"), F.min(b_id).alias("_only")
     )
-    hits = spread_join(ka, sizes, ["_tier", "block"])
+    hits = stage(spread_join(ka, sizes, ["_tier", "block"]))
     label = F.element_at(F.array(*[F.lit(name) for name, _ in tiers]), F.col("_tier") + 1)
 
     exact = hits.filter("n_candidates = 1").select(
@@ -160,13 +164,13 @@ def tier_match(
         F.lit("exact").alias("confidence"), label.alias("match_method"),
     )
     several = hits.filter("n_candidates > 1").select(a_id, "_tier", "block", "n_candidates")
-    members = spread_join(
-        kb, several.select("_tier", "block").distinct(), ["_tier", "block"], "left_semi"
-    )
+    open_blocks = several.select("_tier", "block").distinct()
+    members = stage(spread_join(kb, open_blocks, ["_tier", "block"], "left_semi"))
     # Blocks of different tiers must not meet in the event join.
     apart = F.struct("_tier", "block").alias("block")
     by_events = strict_winner(
-        several.select(a_id, apart), members.select(b_id, apart), a_id, b_id, events, min_shared
+        several.select(a_id, apart), members.select(b_id, apart), a_id, b_id, events, min_shared,
+        stage,
     ).withColumn("_tier", F.col("block._tier")).select(
         a_id, "_tier", b_id, "n_shared_events", F.lit("resolved_by_events").alias("confidence"),
         F.concat(label, F.lit("+events")).alias("match_method"),
@@ -214,7 +218,7 @@ def _substrings(text: Column, min_len: int) -> Column:
 
 
 def _names_that_contain(
-    a: DataFrame, b: DataFrame, b_id: str, min_len: int, pair_limit: int
+    a: DataFrame, b: DataFrame, b_id: str, min_len: int, pair_limit: int, stage: Stage
 ) -> DataFrame:
     """(block, a_name) with the lowest and highest B whose name contains it or is in it.
 
@@ -232,7 +236,8 @@ def _names_that_contain(
         .join(bn.groupBy("block").agg(F.count(F.lit(1)).alias("_nb")), "block")
         .select("block", (F.col("_na") * F.col("_nb") <= pair_limit).alias("_small"))
     )
-    an, bn = spread_join(an, sizes, ["block"]), spread_join(bn, sizes, ["block"])
+    an = stage(spread_join(an, sizes, ["block"]))
+    bn = stage(spread_join(bn, sizes, ["block"]))
     found = ["block", "a_name", "low", "high"]
 
     small_a, small_b = an.filter("_small").drop("_small"), bn.filter("_small").drop("_small")
@@ -259,22 +264,22 @@ def corroborated_match(
     a: DataFrame, b: DataFrame, a_id: str, b_id: str, block_cols: Sequence[str],
     a_name: str, b_name: str, events: Events, min_shared: int = V.MIN_SHARED_EVENTS,
     min_len: int = 1, pair_limit: int = 256,
-    stage: Callable[[DataFrame], DataFrame] = materialise,
+    stage: Stage = materialise,
 ) -> DataFrame:
     """Same address block, and names that contain each other or enough shared events.
 
     Accepted when exactly one B qualifies. Uniqueness needs only the smallest and largest
-    qualifying B id: one B qualifies when the two are equal. Both blocked sides feed several
-    joins, so ``stage`` writes them once.
+    qualifying B id: one B qualifies when the two are equal. What several branches read is
+    written once by ``stage``.
     """
     ka = stage(_blocked(a, a_id, block_cols, a_name).withColumnRenamed(a_name, "a_name"))
     kb = _blocked(b, b_id, block_cols, b_name).withColumnRenamed(b_name, "b_name")
     kb = stage(spread_join(kb, ka.select("block").distinct(), ["block"], "left_semi"))
 
-    named = _names_that_contain(ka, kb, b_id, min_len, pair_limit)
+    named = _names_that_contain(ka, kb, b_id, min_len, pair_limit, stage)
     by_name = spread_join(ka, named, ["block", "a_name"])
 
-    a_sets = _event_sets(ka.select(a_id, "block"), a_id, events.a, events.on)
+    a_sets = stage(_event_sets(ka.select(a_id, "block"), a_id, events.a, events.on))
     a_classes = _classes(a_sets, a_id)
     b_classes = _classes(_event_sets(kb.select(b_id, "block"), b_id, events.b, events.on), b_id)
     per_class = (

@@ -101,7 +101,7 @@ def build_crosswalk(
     seen = observation_events(portal, ins)
     events = R.Events(stage(seen.a), stage(seen.b), seen.on)
 
-    tiers = R.tier_match(permits, active, A, B, V.MATCH_TIERS, events)
+    tiers = R.tier_match(permits, active, A, B, V.MATCH_TIERS, events, stage=stage)
     by_key = stage(tiers.matched)
     unresolved = stage(tiers.unresolved)
 
@@ -109,7 +109,7 @@ def build_crosswalk(
     by_name = stage(R.corroborated_match(
         left.withColumnRenamed("k_loose", "a_loose"),
         active.withColumnRenamed("k_loose", "b_loose"),
-        A, B, ("k_street", "zip"), "a_loose", "b_loose", events,
+        A, B, ("k_street", "zip"), "a_loose", "b_loose", events, stage=stage,
     ))
     unresolved = unresolved.join(by_name.select(A), A, "left_anti")
 
