@@ -1,6 +1,9 @@
 """Scoring predicates, bands and the establishment category."""
 
+import re
 from collections.abc import Sequence
+from functools import reduce
+from operator import or_
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -8,6 +11,8 @@ from pyspark.sql import functions as F
 from .. import fixed_values as V
 from .text import _c
 
+REGEX_CHARS = re.compile(r"[\\^$.|?*+()\[\]{}]")
+
 
 def is_scored(
     score: Column | str, kind: Column | str | None = None, scored_kind: str = V.SCORED_TYPE
@@ -62,14 +67,22 @@ def rule_cascade(
     overrides: dict[str, str] | None = None,
     default: str | None = None,
 ) -> Column:
-    """Exact overrides first, then the first rule with a pattern found in the lower-cased text."""
+    """Exact overrides first, then the first rule with a pattern found in the lower-cased text.
+
+    Plain words are byte searches; only true patterns go to the regex engine.
+    """
     value = _c(value)
     lowered = F.lower(value)
     out = F.when(F.lit(False), F.lit(None).cast("string"))
     for exact, label in (overrides or {}).items():
         out = out.when(value == exact, F.lit(label))
     for label, patterns in rules:
-        out = out.when(F.rlike(lowered, F.lit("|".join(patterns))), F.lit(label))
+        words = [p for p in patterns if not REGEX_CHARS.search(p)]
+        regexes = [p for p in patterns if REGEX_CHARS.search(p)]
+        tests = [F.contains(lowered, F.lit(word)) for word in words]
+        if regexes:
+            tests.append(F.rlike(lowered, F.lit("|".join(regexes))))
+        out = out.when(reduce(or_, tests), F.lit(label))
     return out.otherwise(F.lit(default))
 
 
