@@ -327,7 +327,8 @@ def block_edges(rows: DataFrame, similarity: float, small: int) -> DataFrame:
 
 def similar_texts(docs: DataFrame, text: str = "text", words: int = WORDS, similarity: float = SIMILARITY,
                   target_recall: float = TARGET_RECALL, small: int = SMALL) -> DataFrame:
-    """doc_id, class_id, n_links per row: links are other rows with a Jaccard similarity of ``similarity`` or more.
+    """doc_id, class_id, n_links, row, group per row: links are other rows with a Jaccard similarity of
+    ``similarity`` or more. ``row`` is a hash of doc_id and text, ``group`` is the same for all rows of a class.
 
     1. Texts with equal shingle sets become one node with a number of copies.
     2. Each node chooses shingles in several runs; nodes that chose the same one meet in a bucket. A large bucket
@@ -366,21 +367,40 @@ def similar_texts(docs: DataFrame, text: str = "text", words: int = WORDS, simil
     linked = connected_components(found.filter("b IS NOT NULL").select("a", "b"))
     named = linked.join(nodes.select("node", "doc_id"), "node")
     classes = named.groupBy("component").agg(F.min("doc_id").alias("class_id"))
-    by_node = linked.join(classes, "component").select("node", "class_id")
+    by_node = linked.join(classes, "component").select("node", "class_id", "component")
     salts = 16
     info = nodes.select("node", "doc_id", "copies").join(links, "node", "left").join(by_node, "node", "left").select(
         "node", (F.coalesce("links", F.lit(0)) + F.col("copies") - 1).alias("n_links"),
-        F.coalesce("class_id", "doc_id").alias("class_id")).filter(
+        F.coalesce("class_id", "doc_id").alias("class_id"), "component").filter(
         F.col("n_links") > 0).withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
     # Copies of one text may be many: their rows are salted.
-    return rows.select("doc_id", "node", F.pmod("row", F.lit(salts)).cast("int").alias("salt")).join(
+    return rows.select("doc_id", "row", "node", F.pmod("row", F.lit(salts)).cast("int").alias("salt")).join(
         info, ["node", "salt"], "left").select(
-        "doc_id", F.coalesce("class_id", "doc_id").alias("class_id"), F.coalesce("n_links", F.lit(0)).alias("n_links"))
+        "doc_id", F.coalesce("class_id", "doc_id").alias("class_id"), F.coalesce("n_links", F.lit(0)).alias("n_links"),
+        "row", F.coalesce("component", "node", "row").alias("group"))
+
+
+def one_per_class(docs: DataFrame, **options) -> DataFrame:
+    """The rows of ``docs``, one of each class: that with the smallest doc_id (NULL last).
+
+    Only the rows that go are joined back to the texts.
+    """
+    classes = stage(similar_texts(docs, **options), "classes")
+    first = classes.groupBy("group").agg(F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "row")).alias("m"))
+    gone = classes.select("row").distinct().join(first.select("m.row"), "row", "left_anti")
+    repeated = classes.groupBy("row").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("row")
+    keyed = docs.withColumn("_row", F.xxhash64("doc_id", F.coalesce("text", F.lit(""))))
+    left = keyed.join(bounded_broadcast(gone.withColumnRenamed("row", "_row")), "_row", "left_anti")
+    repeated = bounded_broadcast(stage(repeated.withColumnRenamed("row", "_row"), "repeated"))
+    once = left.join(repeated, "_row", "left_anti")
+    if not repeated.isEmpty():
+        once = once.unionByName(left.join(repeated, "_row", "left_semi").dropDuplicates(["_row"]))
+    return once.drop("_row")
 
 
 def op8_jaccard_join(spark, sf_dir):
     """Every document with its class and its number of links."""
-    return similar_texts(documents(spark, sf_dir))
+    return similar_texts(documents(spark, sf_dir)).select("doc_id", "class_id", "n_links")
 
 
 QUERIES = {"op8_jaccard_join": op8_jaccard_join}

@@ -175,6 +175,15 @@ def classify(docs: DataFrame, labels: DataFrame, threshold: float = 0.3) -> Data
     return scored.withColumn("predicted", (F.col("score") >= threshold).cast("int"))
 
 
+def keep_good(docs: DataFrame, labels: DataFrame, threshold: float = 0.3) -> DataFrame:
+    """The rows of ``docs`` with a score of at least ``threshold``. Statistics are worked out once to learn and once
+    to judge, so that texts are not shuffled."""
+    stats = stage(add_statistics(docs.filter(fold("doc_id", 5) != 0), "text", ("doc_id",)), "quality")
+    model = fit(stats.join(labels.select("doc_id", "quality"), "doc_id"))
+    judged = score(add_statistics(docs, "text", tuple(docs.columns)), model, tuple(docs.columns))
+    return judged.filter(F.col("score") >= threshold).select(*docs.columns)
+
+
 def op4_quality_qda(spark, sf_dir):
     """Quality score of every document, learned from the labels of the other folds."""
     return classify(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/labels.parquet"))
