@@ -143,7 +143,7 @@ ORACLE = {"op9_warc_revisits": r"""
 WITH p AS (SELECT page_id, coalesce(html, '') AS h, sha1(coalesce(html, '')) AS d FROM pages),
 g AS (SELECT d, min(page_id) AS original FROM p GROUP BY d HAVING count(*) > 1)
 SELECT page_id, octet_length(encode(h))::BIGINT AS payload_bytes,
-  array_to_string(list_transform(range(32), i -> substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
+  array_to_string(list_transform(range(32), lambda i: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
     1 + ((('0x' || substr(d, 1 + 5 * (i // 4)::INT, 5))::INT >> (15 - 5 * (i % 4))::INT) & 31), 1)), '') AS payload_digest,
   CASE WHEN original IS NOT NULL AND original IS DISTINCT FROM page_id THEN 'revisit' ELSE 'response' END AS record_type,
   CASE WHEN original IS DISTINCT FROM page_id THEN original END AS refers_to
