@@ -113,9 +113,12 @@ def contaminated(docs: DataFrame, items: DataFrame) -> DataFrame:
     rows = aligned.select("row").distinct()
     if rows.count() <= BROADCAST_KEYS:
         rows = F.broadcast(rows)
-    texts = keyed.join(rows, "row", "left_semi").select("row", "doc_id", tokens(F.col("text")).alias("doc_raw")).distinct()
+    # Staged, so that the lambdas below read arrays instead of working them out per element.
+    texts = stage(keyed.join(rows, "row", "left_semi").dropDuplicates(["row"]).select(
+        "row", "doc_id", tokens(F.col("text")).alias("doc_raw")).withColumn("doc_kinds", template(F.col("doc_raw"))),
+        "matched-texts")
     fillers = items.select("item_id", "raw", "kinds").distinct()
-    checked = aligned.join(texts, "row").join(fillers, "item_id").withColumn("doc_kinds", template(F.col("doc_raw")))
+    checked = aligned.join(texts, "row").join(fillers, "item_id")
     low, high = F.col("low"), F.col("high")
     pair = F.transform(F.sequence(low + 1, high), lambda i: F.struct(
         F.element_at("kinds", i).alias("kind"), F.try_element_at("doc_kinds", i + F.col("shift")).alias("doc_kind"),
