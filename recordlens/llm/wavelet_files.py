@@ -4,9 +4,11 @@ from __future__ import annotations
 
 import json
 import math
+import re
 import struct
 import zlib
 from collections.abc import Iterator
+from itertools import chain, islice
 
 import numpy as np
 import pyarrow as pa
@@ -20,9 +22,10 @@ TOKENIZER = "word_bpe_49k.json"
 END_ID = 1
 MAGIC = b"WVM1"
 FILE_TEXT_BYTES = 16_000_000  # text per file, roughly
-SHARD_TOKENS = 1 << 22        # tokens per matrix: bounds a task's memory
+SHARD_TOKENS = 1 << 21        # tokens per matrix: bounds a task's memory
 RANK_STEP = 512               # bits between stored ranks
-CACHE_WORDS = 600_000         # words whose ids a worker remembers before it starts anew
+CACHE_WORDS = 450_000         # words whose ids a worker remembers
+KEPT_WORDS = 300_000          # words it keeps when there are more
 NOT_SPACE = "[^\\t-\\r \\x85\\xa0\\u1680\\u2000-\\u200a\\u2028\\u2029\\u202f\\u205f\\u3000]+"
 
 
@@ -41,7 +44,7 @@ class WaveletMatrix:
             ones = (rest >> level & 1).astype(bool)
             planes.append(np.packbits(ones, bitorder="little"))
             zeros.append(int(len(ones) - np.count_nonzero(ones)))
-            rest = np.concatenate([rest[~ones], rest[ones]])
+            rest = np.concatenate([np.compress(~ones, rest), np.compress(ones, rest)])
         return cls(len(ids), planes, zeros)
 
     def _rank1(self, level: int, at: int) -> int:
@@ -115,8 +118,8 @@ class WaveletMatrix:
         for level in range(len(self.planes) - 1, -1, -1):
             ones = np.unpackbits(self.planes[level], count=self.n, bitorder="little").view(bool)
             out = np.empty_like(rest)
-            out[~ones] = rest[:self.zeros[level]]
-            out[ones] = rest[self.zeros[level]:] | (1 << (len(self.planes) - 1 - level))
+            out[np.flatnonzero(~ones)] = rest[:self.zeros[level]]
+            out[np.flatnonzero(ones)] = rest[self.zeros[level]:] | (1 << (len(self.planes) - 1 - level))
             rest = out
         return rest
 
@@ -160,8 +163,24 @@ def unpack_shards(content: memoryview) -> Iterator[tuple[int, list, np.ndarray,
         yield head["part"], keys, np.frombuffer(parts[2], "<i8"), WaveletMatrix(head["n"], planes, head["zeros"])
 
 
+class WordCodes(dict):
+    """Numbers words as they are first seen."""
+
+    def __missing__(self, word: str) -> int:
+        self[word] = code = len(self)
+        return code
+
+
 class WordCache:
-    """Ids of texts from ids of their words: this tokenizer drops white space, so words do not interact."""
+    """Ids of texts from ids of their pre-tokens, which do not interact; each is encoded once and remembered.
+
+    Texts of Latin letters are cut into pre-tokens here, as the tokenizer's own pattern does. Other texts,
+    and those that may hold its special tokens, are cut at white space only, which the tokenizer drops.
+    """
+
+    MARK = "\x01"  # encoded between words that are met for the first time, to tell their ids apart
+    UNUSUAL = re.compile("[^\x00-\x7f\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u00ff]|<\\|")
+    LATIN = re.compile("[a-z\u00df-\u00f6\u00f8-\u00ff]+|'s|'t|'re|'ve|'m|'ll|'d|[0-9]|[^\t-\r a-z0-9\u00df-\u00f6\u00f8-\u00ff]+")
 
     def __init__(self, tokenizer_json: str) -> None:
         import regex
@@ -169,49 +188,72 @@ class WordCache:
 
         self.tokenizer = Tokenizer.from_str(tokenizer_json)
         self.words = regex.compile(NOT_SPACE)
+        self.mark_id = self.ids(self.MARK)[0]
         self.reset()
 
     def reset(self) -> None:
-        self.index: dict[str, int] = {}
-        self.flat, self.sizes = [np.empty(0, np.uint32)], [np.empty(0, np.int64)]
+        self.codes = WordCodes()
+        self.flat, self.sizes = np.empty(0, np.uint32), np.empty(0, np.int64)
+
+    def forget(self) -> None:
+        """Drop the words that came last: frequent words come early."""
+        self.codes = WordCodes(islice(self.codes.items(), KEPT_WORDS))
+        self.sizes = self.sizes[:KEPT_WORDS]
+        self.flat = self.flat[:int(self.sizes.sum())]
 
     def split(self, text: str) -> list[str]:
-        # str.split() also splits at the four ASCII separators, which are no white space here.
-        return self.words.findall(text) if any(c in text for c in "\x1c\x1d\x1e\x1f") else text.split()
+        if not self.UNUSUAL.search(text):
+            return self.LATIN.findall(text.lower())
+        return self.words.findall(text)
+
+    def ids(self, text: str) -> list[int]:
+        return self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids
+
+    def learn(self, new: list[str]) -> None:
+        """Encode words in few calls: in a row, with a mark between them. Words that hold the mark go alone."""
+        parts, plain = [], []
+
+        def flush() -> None:
+            if plain:
+                found = np.array(self.ids(f" {self.MARK} ".join(plain)), np.uint32)
+                cuts = np.flatnonzero(found == self.mark_id)
+                sizes = np.diff(np.concatenate([[-1], cuts, [len(found)]])) - 1
+                if len(sizes) != len(plain):
+                    raise ValueError("a word holds the mark's id")
+                parts.append((found[found != self.mark_id], sizes))
+                plain.clear()
+
+        for word in new:
+            if self.MARK in word:
+                flush()
+                found = np.array(self.ids(word), np.uint32)
+                parts.append((found, np.array([len(found)])))
+            else:
+                plain.append(word)
+        flush()
+        self.flat = np.concatenate([self.flat, *(p[0] for p in parts)])
+        self.sizes = np.concatenate([self.sizes, *(p[1] for p in parts)])
 
     def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """All ids of the texts in a row, each text with END_ID at its end, and the number of ids per text."""
-        if len(self.index) > CACHE_WORDS:
-            self.reset()
+        if len(self.codes) > CACHE_WORDS:
+            self.forget()
         split = [self.split(t) for t in texts]
-        get = self.index.get
-        codes = [[get(w, -1) for w in words] for words in split]
-        new = dict.fromkeys(w for words, found in zip(split, codes) if -1 in found
-                            for w, c in zip(words, found) if c < 0)
-        if new:
-            encoded = [e.ids for e in self.tokenizer.encode_batch(list(new), add_special_tokens=False)]
-            for w in new:
-                self.index[w] = len(self.index)
-            self.sizes.append(np.fromiter(map(len, encoded), np.int64, len(encoded)))
-            self.flat.append(np.fromiter((i for e in encoded for i in e), np.uint32))
-            self.flat, self.sizes = [np.concatenate(self.flat)], [np.concatenate(self.sizes)]
-            codes = [[get(w) for w in words] if -1 in found else found for words, found in zip(split, codes)]
-        sizes, starts = self.sizes[0], np.concatenate([[0], np.cumsum(self.sizes[0])])
-        counts = np.fromiter(map(len, codes), np.int64, len(codes))
-        code = np.fromiter((c for found in codes for c in found), np.int64, int(counts.sum()))
+        known = len(self.codes)
+        counts = np.fromiter(map(len, split), np.int64, len(split))
+        code = np.fromiter(map(self.codes.__getitem__, chain.from_iterable(split)), np.int64, int(counts.sum()))
+        if len(self.codes) > known:
+            self.learn(list(islice(self.codes, known, None)))
         # One more word per text: the end id, which lies behind all others.
         last = np.cumsum(counts + 1) - 1
-        all_codes = np.full(len(code) + len(counts), len(sizes))
-        is_word = np.ones(len(all_codes), bool)
-        is_word[last] = False
-        all_codes[is_word] = code
-        sizes = np.concatenate([sizes, [1]])
-        flat = np.concatenate([self.flat[0], [END_ID]]).astype(np.uint32)
-        take = sizes[all_codes]
+        codes = np.insert(code, np.cumsum(counts), len(self.sizes))
+        sizes = np.append(self.sizes, 1)
+        flat = np.append(self.flat, np.uint32(END_ID))
+        starts = np.cumsum(sizes) - sizes
+        take = sizes[codes]
         ends = np.cumsum(take)
-        within = np.arange(int(ends[-1]) if len(ends) else 0) - np.repeat(ends - take, take)
-        ids = flat[np.repeat(starts[all_codes], take) + within]
-        return ids, np.diff(np.concatenate([[0], ends[last]]))
+        within = np.arange(int(ends[-1]) if len(ends) else 0) - np.repeat(ends - take - starts[codes], take)
+        return flat[within], np.diff(ends[last], prepend=0)
 
 
 _CACHES: dict[str, WordCache] = {}
