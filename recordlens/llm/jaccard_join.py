@@ -17,7 +17,9 @@ from .components import connected_components
 WORDS = 5
 SIMILARITY = 0.8
 TARGET_RECALL = 0.999
-SMALL = 500              # sets per bucket, and per block, that are compared pair by pair
+SMALL = 2000             # sets per bucket that are compared pair by pair
+BLOCK = 500              # sets per block, where blocks are compared with each other
+DENSE = 0.6              # mean share of equal minima from which a bucket is not split further
 DEEPER = 3.0             # tokens chosen per set below the first level, times 1 / similarity
 MOST_LEVELS = 5          # buckets that are still large go to block-by-block comparison
 SKETCH = 64              # one-byte minima in a sketch
@@ -154,6 +156,8 @@ def compare_buckets(batches: Iterator[pa.RecordBatch], similarity: float) -> Ite
         for size in np.unique(counts[counts > 1]).tolist():
             left, right = np.triu_indices(size, 1)
             of = starts[counts == size]
+            if not len(of):
+                continue
             step = max(1, 200_000 // len(left))
             for at in range(0, len(of), step):
                 a = (of[at:at + step, None] + left).ravel()
@@ -189,13 +193,13 @@ def verify_cells(batches: Iterator[pa.RecordBatch], similarity: float) -> Iterat
             _, code = np.unique(np.concatenate(sets), return_inverse=True)
             offsets = np.concatenate([[0], np.cumsum(sizes)[:-1]])
             mark, links, edges = np.zeros(int(code.max()) + 1, bool), np.zeros(len(sets), np.int64), []
-            across = bool((sides == 1).any())
+            across = bool(sides[0])
             for i in range(len(sets)):
-                if across and sides[i] != 0:
+                if sides[i] == 2:
                     continue
                 own = code[offsets[i]:offsets[i] + sizes[i]]
                 others = np.flatnonzero(
-                    (sides == 1 if across else np.arange(len(sets)) > i)
+                    (sides == 2 if across else np.arange(len(sets)) > i)
                     & (np.minimum(sizes, sizes[i]) >= similarity * np.maximum(sizes, sizes[i])))
                 if not len(others):
                     continue
@@ -232,7 +236,7 @@ def token_sets(keyed: DataFrame, wanted: DataFrame, words: int) -> DataFrame:
     return found.select("text").mapInArrow(run, "node long, tokens binary")
 
 
-def candidate_edges(keyed: DataFrame, nodes: DataFrame, words: int, similarity: float, small: int) -> DataFrame:
+def candidate_edges(keyed: DataFrame, nodes: DataFrame, words: int, similarity: float, small: int, block: int) -> DataFrame:
     """Edges between sets that look alike, from buckets of chosen paths that are split until they are small."""
     entries = nodes.select("node", "row", "n", "sketch", F.explode("keys").alias("key"))
     edges = None
@@ -246,22 +250,20 @@ def candidate_edges(keyed: DataFrame, nodes: DataFrame, words: int, similarity:
         edges = part if edges is None else edges.unionByName(part)
 
     for level in range(1, MOST_LEVELS + 1):
-        counts = stage(entries.groupBy("key").agg(F.count(F.lit(1)).alias("size")).filter("size > 1"), "buckets")
-        large = counts.filter(F.col("size") > small).select("key")
-        n_large = large.count()
-        if n_large:
-            large = bounded_broadcast(large)
-            take(entries.join(large, "key", "left_anti").join(counts.select("key"), "key", "left_semi"))
-        else:
-            take(entries.join(counts.select("key"), "key", "left_semi"))
+        large = stage(entries.groupBy("key").agg(F.count(F.lit(1)).alias("size")).filter(
+            F.col("size") > small).select("key"), "large-buckets")
+        if large.isEmpty():
+            take(entries)
             return edges
-        rest = stage(entries.join(large, "key", "left_semi").select("key", "node", "row", "n", "sketch"), "large-buckets")
+        large = bounded_broadcast(large)
+        take(entries.join(large, "key", "left_anti"))
+        rest = stage(entries.join(large, "key", "left_semi").select("key", "node", "row", "n", "sketch"), "large-rows")
         # Sets that are much like the others of their bucket would never part: they are compared in blocks.
         dense = dense_buckets(rest)
         if level == MOST_LEVELS:
             dense = rest.select("key").distinct()
         dense = stage(dense, "dense-buckets")
-        edges = edges.unionByName(block_edges(rest.join(bounded_broadcast(dense), "key", "left_semi"), similarity, small))
+        edges = edges.unionByName(block_edges(rest.join(bounded_broadcast(dense), "key", "left_semi"), similarity, block))
         rest = rest.join(bounded_broadcast(dense), "key", "left_anti")
         if level == MOST_LEVELS or rest.isEmpty():
             return edges
@@ -273,15 +275,26 @@ def candidate_edges(keyed: DataFrame, nodes: DataFrame, words: int, similarity:
 def dense_buckets(rest: DataFrame) -> DataFrame:
     """Keys of buckets in which two sets have, on average, nearly the wanted share of equal minima.
 
-    The mean over pairs follows from how often each value occurs at each place of the sketch.
+    The mean is taken over neighbours in the order of the digests, which is a random one: as many pairs as
+    the bucket has sets. A bucket's rows are split over tasks, and only sums leave them.
     """
-    places = 16  # every fourth place is enough for a mean
-    values = rest.select("key", F.posexplode(F.transform(
-        F.sequence(F.lit(0), F.lit(places - 1)),
-        lambda i: F.substring(F.hex("sketch"), i * 8 + 1, 2))).alias("place", "value"))
-    counted = values.groupBy("key", "place", "value").agg(F.count(F.lit(1)).alias("c"))
-    return counted.groupBy("key").agg((F.sum(F.col("c") * F.col("c")) / F.sum("c") / F.sum("c") * places).alias("alike")).filter(
-        F.col("alike") >= 0.6).select("key")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            keys = batch.column(0).to_numpy()
+            marks = np.frombuffer(b"".join(batch.column(1).to_pylist()), np.uint8).reshape(-1, SKETCH)
+            same = (marks[1:] == marks[:-1]).sum(axis=1)
+            within = keys[1:] == keys[:-1]
+            found, at = np.unique(keys[1:][within], return_inverse=True)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(found), pa.array(np.bincount(at, same[within], len(found))),
+                 pa.array(np.bincount(at, minlength=len(found)).astype(float))], names=["key", "same", "pairs"])
+
+    parts = rest.select("key", "sketch", "node", F.pmod("node", F.lit(16)).alias("part")).repartition("key", "part")
+    sums = parts.sortWithinPartitions("key", "part", "node").select("key", "sketch").mapInArrow(
+        run, "key long, same double, pairs double")
+    return sums.groupBy("key").agg((F.sum("same") / F.sum("pairs") / SKETCH).alias("alike")).filter(
+        F.col("alike") >= DENSE).select("key")
 
 
 def split(rows: DataFrame, similarity: float) -> DataFrame:
@@ -300,33 +313,35 @@ def split(rows: DataFrame, similarity: float) -> DataFrame:
         run, "node long, row long, n int, sketch binary, key long")
 
 
-def block_cells(df: DataFrame, group: str, size: str, small: int) -> DataFrame:
-    """Cells of at most about 2 * ``small`` rows in which every two rows of a group meet exactly once.
+def block_cells(df: DataFrame, group: str, size: str, block: int) -> DataFrame:
+    """Cells of at most about 2 * ``block`` rows in which every two rows of a group meet exactly once.
 
-    A group is cut into blocks; a cell is a block with itself or with another. Adds ``cell`` and ``side``.
+    A group is cut into blocks; a cell is a block with itself or with another. Adds ``cell`` and ``side``:
+    0 in a cell of one block, else 1 and 2 for the lower and the higher block.
     """
-    blocks = F.ceil(F.col(size) / small).cast("int")
+    blocks = F.ceil(F.col(size) / block).cast("int")
     own = F.pmod(F.xxhash64("node"), blocks).cast("int")
     placed = df.withColumn("_n", blocks).withColumn("_own", own)
     spread = placed.withColumn("_other", F.explode(F.sequence(F.lit(0), F.col("_n") - 1)))
     low, high = F.least("_own", "_other"), F.greatest("_own", "_other")
     return spread.withColumn("cell", F.xxhash64(F.col(group), low, high)).withColumn(
-        "side", (F.col("_own") > F.col("_other")).cast("int")).drop("_n", "_own", "_other")
+        "side", F.when(F.col("_own") == F.col("_other"), 0).otherwise(
+            F.when(F.col("_own") < F.col("_other"), 1).otherwise(2))).drop("_n", "_own", "_other")
 
 
-def block_edges(rows: DataFrame, similarity: float, small: int) -> DataFrame:
+def block_edges(rows: DataFrame, similarity: float, block: int) -> DataFrame:
     """Candidate edges of large buckets, block by block."""
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         return compare_buckets(batches, similarity)
 
     sizes = rows.groupBy("key").agg(F.count(F.lit(1)).alias("size"))
-    cells = block_cells(rows.join(bounded_broadcast(sizes), "key"), "key", "size", small)
+    cells = block_cells(rows.join(bounded_broadcast(sizes), "key"), "key", "size", block)
     return sorted_by(cells.select("cell", "node", "n", "sketch"), "cell").mapInArrow(compare, "a long, b long")
 
 
 def similar_texts(docs: DataFrame, text: str = "text", words: int = WORDS, similarity: float = SIMILARITY,
-                  target_recall: float = TARGET_RECALL, small: int = SMALL) -> DataFrame:
+                  target_recall: float = TARGET_RECALL, small: int = SMALL, block: int = BLOCK) -> DataFrame:
     """doc_id, class_id, n_links, row, group per row: links are other rows with a Jaccard similarity of
     ``similarity`` or more. ``row`` is a hash of doc_id and text, ``group`` is the same for all rows of a class.
 
@@ -350,11 +365,11 @@ def similar_texts(docs: DataFrame, text: str = "text", words: int = WORDS, simil
     nodes = stage(rows.filter(F.col("node").isNotNull()).groupBy("node").agg(
         F.count(F.lit(1)).alias("copies"), F.min("doc_id").alias("doc_id"), F.min("row").alias("row"),
         F.any_value("n").alias("n"), F.any_value("sketch").alias("sketch"), F.any_value("keys").alias("keys")), "nodes")
-    near = connected_components(candidate_edges(keyed, nodes, words, similarity, small))
+    near = connected_components(candidate_edges(keyed, nodes, words, similarity, small, block))
     members = stage(near.join(nodes.select("node", "row", "copies"), "node"), "candidates")
     sizes = members.groupBy("component").agg(F.count(F.lit(1)).alias("size"))
     sets = token_sets(keyed, members, words)
-    cells = block_cells(members.join(bounded_broadcast(sizes), "component"), "component", "size", small).join(sets, "node")
+    cells = block_cells(members.join(bounded_broadcast(sizes), "component"), "component", "size", block).join(sets, "node")
 
     def verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import pyarrow.compute  # noqa: F401
