@@ -4,11 +4,9 @@ from __future__ import annotations
 
 import json
 import math
-import re
 import struct
 import zlib
 from collections.abc import Iterator
-from itertools import chain, islice
 
 import numpy as np
 import pyarrow as pa
@@ -24,9 +22,8 @@ MAGIC = b"WVM1"
 FILE_TEXT_BYTES = 16_000_000  # text per file, roughly
 SHARD_TOKENS = 1 << 21        # tokens per matrix: bounds a task's memory
 RANK_STEP = 512               # bits between stored ranks
-CACHE_WORDS = 450_000         # words whose ids a worker remembers
-KEPT_WORDS = 300_000          # words it keeps when there are more
-NOT_SPACE = "[^\\t-\\r \\x85\\xa0\\u1680\\u2000-\\u200a\\u2028\\u2029\\u202f\\u205f\\u3000]+"
+CACHE_WORDS = 1_000_000       # words whose ids a worker remembers, in 40 bytes each
+KEPT_WORDS = 800_000          # words it keeps when there are more
 
 
 class WaveletMatrix:
@@ -163,97 +160,155 @@ def unpack_shards(content: memoryview) -> Iterator[tuple[int, list, np.ndarray,
         yield head["part"], keys, np.frombuffer(parts[2], "<i8"), WaveletMatrix(head["n"], planes, head["zeros"])
 
 
-class WordCodes(dict):
-    """Numbers words as they are first seen."""
+LETTER, DIGIT, BLANK, MARKS = 0, 1, 2, 3
 
-    def __missing__(self, word: str) -> int:
-        self[word] = code = len(self)
-        return code
+
+def _byte_kinds() -> np.ndarray:
+    kinds = np.full(256, MARKS, np.uint8)
+    kinds[list(b"abcdefghijklmnopqrstuvwxyz")] = LETTER
+    kinds[128:] = LETTER
+    kinds[list(b"0123456789")] = DIGIT
+    kinds[list(b" \t\n\v\f\r")] = BLANK
+    return kinds
+
+
+BYTE_KIND = _byte_kinds()
+LOWER_ASCII = np.arange(256, dtype=np.uint8)
+LOWER_ASCII[65:91] += 32
+BASE = np.uint64(0x9E3779B97F4A7C15)
 
 
 class WordCache:
     """Ids of texts from ids of their pre-tokens, which do not interact; each is encoded once and remembered.
 
-    Texts of Latin letters are cut into pre-tokens here, as the tokenizer's own pattern does. Other texts,
-    and those that may hold its special tokens, are cut at white space only, which the tokenizer drops.
+    Texts of Latin letters are cut into pre-tokens all at once on their bytes, as the tokenizer's own pattern
+    does, and known by a 64-bit hash of their bytes. Other texts, and those that may hold the tokenizer's
+    special tokens, go to the tokenizer whole.
     """
 
-    MARK = "\x01"  # encoded between words that are met for the first time, to tell their ids apart
-    UNUSUAL = re.compile("[^\x00-\x7f\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u00ff]|<\\|")
-    LATIN = re.compile("[a-z\u00df-\u00f6\u00f8-\u00ff]+|'s|'t|'re|'ve|'m|'ll|'d|[0-9]|[^\t-\r a-z0-9\u00df-\u00f6\u00f8-\u00ff]+")
-
     def __init__(self, tokenizer_json: str) -> None:
-        import regex
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_str(tokenizer_json)
-        self.words = regex.compile(NOT_SPACE)
-        self.mark_id = self.ids(self.MARK)[0]
-        self.reset()
-
-    def reset(self) -> None:
-        self.codes = WordCodes()
+        vocabulary = self.tokenizer.get_vocab()
+        self.ends_word = np.zeros(max(vocabulary.values()) + 1, bool)
+        self.ends_word[[i for token, i in vocabulary.items() if token.endswith("</w>")]] = True
+        self.keys, self.codes = np.empty(0, np.uint64), np.empty(0, np.int64)
         self.flat, self.sizes = np.empty(0, np.uint32), np.empty(0, np.int64)
+        self.up = self.down = np.ones(1, np.uint64)
+
+    def ids(self, text: str) -> np.ndarray:
+        return np.array(self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids, np.uint32)
+
+    @staticmethod
+    def unusual(raw: np.ndarray) -> np.ndarray:
+        """Places of bytes that are neither ASCII nor a Latin-1 letter, or that begin ``<|``."""
+        after = np.append(raw[1:], 0)
+        lead = raw >= 0xC0
+        wrong = lead & ((raw != 0xC3) | (after == 0x97) | (after == 0xB7))
+        return np.flatnonzero(wrong | ((raw == 60) & (after == 124)))
+
+    @staticmethod
+    def lower(raw: np.ndarray) -> np.ndarray:
+        low = LOWER_ASCII[raw]
+        behind = np.flatnonzero(raw[:-1] == 0xC3) + 1
+        behind = behind[low[behind] < 0x9F]
+        low[behind] += 0x20
+        return low
 
-    def forget(self) -> None:
-        """Drop the words that came last: frequent words come early."""
-        self.codes = WordCodes(islice(self.codes.items(), KEPT_WORDS))
-        self.sizes = self.sizes[:KEPT_WORDS]
-        self.flat = self.flat[:int(self.sizes.sum())]
-
-    def split(self, text: str) -> list[str]:
-        if not self.UNUSUAL.search(text):
-            return self.LATIN.findall(text.lower())
-        return self.words.findall(text)
-
-    def ids(self, text: str) -> list[int]:
-        return self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids
-
-    def learn(self, new: list[str]) -> None:
-        """Encode words in few calls: in a row, with a mark between them. Words that hold the mark go alone."""
-        parts, plain = [], []
-
-        def flush() -> None:
-            if plain:
-                found = np.array(self.ids(f" {self.MARK} ".join(plain)), np.uint32)
-                cuts = np.flatnonzero(found == self.mark_id)
-                sizes = np.diff(np.concatenate([[-1], cuts, [len(found)]])) - 1
-                if len(sizes) != len(plain):
-                    raise ValueError("a word holds the mark's id")
-                parts.append((found[found != self.mark_id], sizes))
-                plain.clear()
-
-        for word in new:
-            if self.MARK in word:
-                flush()
-                found = np.array(self.ids(word), np.uint32)
-                parts.append((found, np.array([len(found)])))
-            else:
-                plain.append(word)
-        flush()
-        self.flat = np.concatenate([self.flat, *(p[0] for p in parts)])
-        self.sizes = np.concatenate([self.sizes, *(p[1] for p in parts)])
+    @staticmethod
+    def cut(low: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Starts and ends of the pre-tokens: letters, single digits, runs of marks, English contractions."""
+        kind = BYTE_KIND[low]
+        before = np.concatenate([[np.uint8(BLANK)], kind[:-1]])
+        start = (kind != BLANK) & ((kind != before) | (kind == DIGIT))
+        for i in np.flatnonzero((low == 39) & (before != MARKS)).tolist():
+            tail = low[i + 1:i + 3].tobytes()
+            size = 2 if tail[:1] in (b"s", b"t", b"m", b"d") else 3 if tail in (b"re", b"ve", b"ll") else 0
+            if size:
+                start[i + 1] = False
+                if i + size < len(low) and kind[i + size] == LETTER:
+                    start[i + size] = True
+        closed = start | ((kind == BLANK) & (before != BLANK))
+        ends = np.append(np.flatnonzero(closed & (before != BLANK)), len(low))
+        starts = np.flatnonzero(start)
+        return starts, ends[:len(starts)]
+
+    def hashes(self, low: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+        if len(self.up) <= len(low):
+            size = 1 << (len(low) + 1).bit_length()
+            inverse = np.uint64(pow(int(BASE), -1, 1 << 64))
+            self.up, self.down = (np.multiply.accumulate(np.concatenate([[np.uint64(1)], np.full(size, f, np.uint64)]))
+                                  for f in (BASE, inverse))
+        total = np.empty(len(low) + 1, np.uint64)
+        total[0] = 0
+        np.cumsum((low.astype(np.uint64) + np.uint64(1)) * self.up[:len(low)], out=total[1:])
+        value = (total[ends] - total[starts]) * self.down[starts]
+        value = (value ^ (value >> np.uint64(32))) * np.uint64(0xD6E8FEB86659FD93)
+        return value ^ (value >> np.uint64(32)) ^ (ends - starts).astype(np.uint64)
+
+    def learn(self, keys: np.ndarray, words: list[bytes], forget: bool = True) -> None:
+        """Encode new pre-tokens in one call; each ends with one id that ends a word."""
+        found = self.ids(b" ".join(words).decode())
+        cuts = np.flatnonzero(self.ends_word[found])
+        if len(cuts) != len(words):
+            raise ValueError("a pre-token is not one word")
+        if forget and len(self.keys) + len(keys) > CACHE_WORDS:
+            # Frequent words come early: those keep their places.
+            old = self.codes < KEPT_WORDS
+            self.keys, self.codes = self.keys[old], self.codes[old]
+            self.sizes = self.sizes[:KEPT_WORDS]
+            self.flat = self.flat[:int(self.sizes.sum())]
+        codes = len(self.sizes) + np.arange(len(keys))
+        at = np.searchsorted(self.keys, keys)
+        self.keys, self.codes = np.insert(self.keys, at, keys), np.insert(self.codes, at, codes)
+        self.flat = np.concatenate([self.flat, found])
+        self.sizes = np.concatenate([self.sizes, np.diff(cuts, prepend=-1)])
 
     def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """All ids of the texts in a row, each text with END_ID at its end, and the number of ids per text."""
-        if len(self.codes) > CACHE_WORDS:
-            self.forget()
-        split = [self.split(t) for t in texts]
-        known = len(self.codes)
-        counts = np.fromiter(map(len, split), np.int64, len(split))
-        code = np.fromiter(map(self.codes.__getitem__, chain.from_iterable(split)), np.int64, int(counts.sum()))
-        if len(self.codes) > known:
-            self.learn(list(islice(self.codes, known, None)))
+        parts = [t.encode() for t in texts]
+        bounds = np.cumsum([len(p) + 1 for p in parts])
+        raw = np.frombuffer(b"\n".join(parts) + b"\n", np.uint8)
+        alone = np.unique(np.searchsorted(bounds, self.unusual(raw), "right")).tolist()
+        if alone:
+            own = {i: self.ids(texts[i]) for i in alone}
+            for i in alone:
+                parts[i] = b""
+            bounds = np.cumsum([len(p) + 1 for p in parts])
+            raw = np.frombuffer(b"\n".join(parts) + b"\n", np.uint8)
+        low = self.lower(raw)
+        starts, ends = self.cut(low)
+        keys, first, at = np.unique(self.hashes(low, starts, ends), return_index=True, return_inverse=True)
+        place = np.minimum(np.searchsorted(self.keys, keys), max(len(self.keys) - 1, 0))
+        new = self.keys[place] != keys if len(self.keys) else np.ones(len(keys), bool)
+        if new.any():
+            data = low.tobytes()
+            self.learn(keys[new], [data[a:b] for a, b in zip(starts[first[new]].tolist(), ends[first[new]].tolist())])
+            place = np.searchsorted(self.keys, keys)
+            lost = self.keys[np.minimum(place, len(self.keys) - 1)] != keys
+            if lost.any():  # the cache was cut back: learn what this slice still needs
+                self.learn(keys[lost], [data[a:b] for a, b in zip(
+                    starts[first[lost]].tolist(), ends[first[lost]].tolist())], forget=False)
+                place = np.searchsorted(self.keys, keys)
+        code = self.codes[place][at] if len(keys) else np.empty(0, np.int64)
+        counts = np.diff(np.searchsorted(starts, bounds), prepend=0)
         # One more word per text: the end id, which lies behind all others.
         last = np.cumsum(counts + 1) - 1
         codes = np.insert(code, np.cumsum(counts), len(self.sizes))
         sizes = np.append(self.sizes, 1)
         flat = np.append(self.flat, np.uint32(END_ID))
-        starts = np.cumsum(sizes) - sizes
+        from_ = np.cumsum(sizes) - sizes
         take = sizes[codes]
-        ends = np.cumsum(take)
-        within = np.arange(int(ends[-1]) if len(ends) else 0) - np.repeat(ends - take - starts[codes], take)
-        return flat[within], np.diff(ends[last], prepend=0)
+        stop = np.cumsum(take)
+        within = np.arange(int(stop[-1])) - np.repeat(stop - take - from_[codes], take)
+        ids, lengths = flat[within], np.diff(stop[last], prepend=0)
+        if alone:
+            cut = np.split(ids, np.cumsum(lengths)[:-1])
+            for i in alone:
+                cut[i] = np.append(own[i], np.uint32(END_ID))
+            ids, lengths = np.concatenate(cut), np.fromiter(map(len, cut), np.int64, len(cut))
+        return ids, lengths
 
 
 _CACHES: dict[str, WordCache] = {}
