@@ -144,6 +144,21 @@ def grouped(batches: Iterator[pa.RecordBatch], key: int = 0) -> Iterator[pa.Tabl
         yield pa.Table.from_batches(held)
 
 
+def pair_chunks(starts: np.ndarray, size: int, most: int = 200_000) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Places of all pairs in groups of one size that begin at ``starts``, some at a time."""
+    if size * (size - 1) // 2 <= most:
+        left, right = np.triu_indices(size, 1)
+        step = max(1, most // len(left))
+        for at in range(0, len(starts), step):
+            yield (starts[at:at + step, None] + left).ravel(), (starts[at:at + step, None] + right).ravel()
+        return
+    rows = max(1, most // size)
+    for start in starts.tolist():
+        for at in range(0, size, rows):
+            left, right = np.nonzero(np.arange(at, min(at + rows, size))[:, None] < np.arange(size)[None])
+            yield start + at + left, start + right
+
+
 def compare_buckets(batches: Iterator[pa.RecordBatch], similarity: float) -> Iterator[pa.RecordBatch]:
     """Candidate edges of each bucket, as stars: sizes near enough and sketches alike enough."""
     for table in grouped(batches):
@@ -154,23 +169,19 @@ def compare_buckets(batches: Iterator[pa.RecordBatch], similarity: float) -> Ite
         starts = np.flatnonzero(np.concatenate([[True], keys[1:] != keys[:-1]]))
         counts = np.diff(np.append(starts, len(keys)))
         for size in np.unique(counts[counts > 1]).tolist():
-            left, right = np.triu_indices(size, 1)
             of = starts[counts == size]
-            if not len(of):
-                continue
-            step = max(1, 200_000 // len(left))
-            for at in range(0, len(of), step):
-                a = (of[at:at + step, None] + left).ravel()
-                b = (of[at:at + step, None] + right).ravel()
+            for a, b in pair_chunks(of, size):
                 near = np.minimum(sizes[a], sizes[b]) >= similarity * np.maximum(sizes[a], sizes[b])
-                a, b = a[near & (nodes[a] != nodes[b])], b[near & (nodes[a] != nodes[b])]
+                near &= nodes[a] != nodes[b]
+                a, b = a[near], b[near]
                 same = np.zeros(len(a), np.int32)
                 for word in range(SKETCH // 8):
                     same += (((marks[a, word] ^ marks[b, word])[:, None].view(np.uint8)) == 0).sum(axis=1, dtype=np.int32)
                 hit = same >= SKETCH_LEAST
                 edges += zip(nodes[a[hit]].tolist(), nodes[b[hit]].tolist())
+            edges = local_forest(edges)
         if edges:
-            yield edge_batch(local_forest(edges))
+            yield edge_batch(edges)
 
 
 def edge_batch(edges: list[tuple[int, int]]) -> pa.RecordBatch:

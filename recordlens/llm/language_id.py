@@ -36,7 +36,9 @@ class Encoder:
         self.codes = np.full(0x110000, 255, np.uint8)
         rng = np.random.default_rng(SEED)
         self.letters = rng.choice(np.array([-1, 1], np.int8), (CODES, DIMENSION))
-        self._vectors: np.ndarray | None = None
+        # Bound vectors of all letter pairs: the older a letter, the further it is rotated, then multiplied.
+        first, second = np.roll(self.letters, 2, 1), np.roll(self.letters, 1, 1)
+        self.pairs = (first[:, None, :] * second[None, :, :]).reshape(-1, DIMENSION)
 
     def grams(self, text: str) -> tuple[np.ndarray, np.ndarray]:
         """Distinct n-grams of the whole text, as numbers, and their counts. Runs of non-letters count once."""
@@ -57,18 +59,14 @@ class Encoder:
             return found, counts[found]
         return np.unique(number, return_counts=True)
 
-    @property
-    def vectors(self) -> np.ndarray:
-        """Bound vectors of all n-grams: the older a letter, the further it is rotated, then multiplied."""
-        if self._vectors is None:
-            first, second, third = np.roll(self.letters, 2, 1), np.roll(self.letters, 1, 1), self.letters
-            pairs = (first[:, None, :] * second[None, :, :]).reshape(-1, DIMENSION)
-            self._vectors = (pairs[:, None, :] * third[None, :, :]).reshape(-1, DIMENSION)
-        return self._vectors
-
     def bundle(self, grams: np.ndarray, counts: np.ndarray) -> np.ndarray:
-        """Sum of the n-gram vectors, each as often as the n-gram occurs."""
-        return counts.astype(np.float32) @ self.vectors[grams].astype(np.float32)
+        """Sum of the bound n-gram vectors, each as often as the n-gram occurs."""
+        total = np.zeros(DIMENSION, np.float32)
+        for at in range(0, len(grams), 4096):
+            part = grams[at:at + 4096]
+            bound = self.pairs[part // CODES] * self.letters[part % CODES]
+            total += counts[at:at + 4096].astype(np.float32) @ bound.astype(np.float32)
+        return total
 
 
 _ENCODER: list[Encoder] = []
