@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 ARROW_ROWS = 500          # rows per Arrow batch: bounds a Python worker's memory with long texts
-SLICE_CHARS = 2_000_000   # characters handled at once inside a task
+SLICE_CHARS = 1_000_000   # characters handled at once inside a task
 
 
 def shared_folder(spark: SparkSession) -> str:

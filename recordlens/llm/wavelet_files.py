@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from .binary_files import read_binary, write_binary
-from .common import bounded_batches, documents, input_bytes, new_folder, stage, text_slices
+from .common import SLICE_CHARS, bounded_batches, documents, input_bytes, new_folder, stage, text_slices
 
 TOKENIZER = "word_bpe_49k.json"
 END_ID = 1
@@ -345,7 +345,7 @@ def write_wavelet_files(df: DataFrame, path: str, tokenizer_json: str | None = N
             packed = pack_shard(part, keys, np.concatenate(lengths), np.concatenate(ids))
             return pa.RecordBatch.from_arrays([pa.array([packed], pa.binary())], names=["shard"])
 
-        for batch, texts in text_slices(batches, "text"):
+        for batch, texts in text_slices(batches, "text", 2 * SLICE_CHARS):
             found, sizes = _CACHES[vocabulary].encode(texts)
             ids.append(found.astype(np.uint16) if int(found.max()) < 1 << 16 else found)
             lengths.append(sizes)
