@@ -9,10 +9,13 @@ from .. import fixed_values as V
 def window_plan(
     bounds: DataFrame, start: str, end: str, days: int = V.FETCH_WINDOW_DAYS
 ) -> DataFrame:
-    """Fixed windows covering [start, end] of every row of ``bounds``; the last one is clipped."""
+    """Fixed windows covering [start, end] of every row of ``bounds``; the last one is clipped.
+
+    No windows where ``start`` is after ``end``, as for a feed that is up to date.
+    """
     step = F.expr(f"interval {days} days")
     starts = F.explode(F.sequence(F.col(start), F.col(end), step)).alias("from_day")
-    return bounds.select(F.col(end).alias("_end"), starts).select(
+    return bounds.filter(F.col(start) <= F.col(end)).select(F.col(end).alias("_end"), starts).select(
         "from_day", F.least(F.date_add("from_day", days - 1), "_end").alias("to_day")
     )
 

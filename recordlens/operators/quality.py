@@ -121,12 +121,11 @@ def verification_sheet(
     """Every record of every published entity, with its mean recomputed from them.
 
     Joined on the id, never on the name. ``counts`` says which records enter the mean.
-    ``published`` is a top-k report, so both small sides have at most its few rows.
     """
     ids = published.select(key, "rank", F.col("mean_score").alias("published_mean"),
                            F.col("n").alias("published_n"))
     history = records.withColumn("counted", F.coalesce(counts, F.lit(False))).join(
-        F.broadcast(ids), key
+        ids, key
     )
     recomputed = history.groupBy(key, "rank").agg(
         F.count_if("counted").alias("recomputed_n"),
@@ -135,6 +134,6 @@ def verification_sheet(
     matches = (F.bround("recomputed_mean", 2) == F.col("published_mean")) & (
         F.col("recomputed_n") == F.col("published_n")
     )
-    return history.join(F.broadcast(recomputed), [key, "rank"]).withColumn(
+    return history.join(recomputed, [key, "rank"]).withColumn(
         "matches", F.coalesce(matches, F.lit(False))
     )

@@ -398,15 +398,15 @@ def review_queue(
 ) -> DataFrame:
     """Everything a person has to decide, most consequential first.
 
-    An ambiguous A is one row naming its block and the number of candidates there; the
-    candidates themselves are the block's rows in ``TierMatches.members``. So a block costs
+    An ambiguous A is one row per block in which it is ambiguous, with the number of candidates
+    there, so that candidates of a looser key are not lost; the candidates themselves are the block's rows in ``TierMatches.members``. So a block costs
     the sum, not the product, of its two sides. ``triage`` is a flag over the columns of
     ``stats`` (one row per A).
     """
-    tightest = dedupe_prefer(unresolved, [a_id], ["n_candidates", "block"])
+    ambiguous = unresolved.select(a_id, "block", "n_candidates").distinct()
     none = F.lit(None).cast("string")
     rows = _union([
-        tightest.select(a_id, none.alias(b_id), "block", F.col("n_candidates").cast("long"),
+        ambiguous.select(a_id, none.alias(b_id), "block", F.col("n_candidates").cast("long"),
                         F.lit("ambiguous_time_overlap").alias("reason")),
         demoted.select(a_id, F.col(b_id).cast("string"), none.alias("block"),
                        F.lit(1).cast("long").alias("n_candidates"),

@@ -71,14 +71,11 @@ def entity_profile(
     return grouped.select(key, "_first.*", "first_date", "last_date", "n_rows")
 
 
-def same_date_conflicts(
-    df: DataFrame, keys: Sequence[str], date: str, value: str, max_listed: int = 1000
-) -> DataFrame:
-    """Keys with several values on their newest date, the values as sorted text.
+def same_date_conflicts(df: DataFrame, keys: Sequence[str], date: str, value: str) -> DataFrame:
+    """Keys with several values on their newest date: ``values`` as (value, n) in order, and as text.
 
-    Copies are counted before anything is gathered, so a group holds one entry per distinct
-    value. A group of more than ``max_listed`` rows writes each value once with its count
-    ("87 x12000"), which says the same in bounded space.
+    Copies are counted before anything is gathered, so a group holds one entry per distinct value. The
+    text has one form for every size: each value, with " xN" behind it where it occurs N > 1 times.
     """
     counted = (
         df.filter(F.col(value).isNotNull())
@@ -99,16 +96,11 @@ def same_date_conflicts(
         )
         .filter("n_rows > 1")
     )
-    listed = F.flatten(
-        F.transform("_values", lambda s: F.array_repeat(s["v"].cast("string"), s["n"].cast("int")))
-    )
-    counted_text = F.transform(
-        "_values", lambda s: F.concat(s["v"].cast("string"), F.lit(" x"), s["n"].cast("string"))
-    )
-    text = F.when(F.col("n_rows") <= max_listed, F.array_join(listed, " / ")).otherwise(
-        F.array_join(counted_text, " / ")
-    )
+    text = F.array_join(F.transform("_values", lambda s: F.when(
+        s["n"] > 1, F.concat(s["v"].cast("string"), F.lit(" x"), s["n"].cast("string"))
+    ).otherwise(s["v"].cast("string"))), " / ")
+    values = F.transform("_values", lambda s: F.struct(s["v"].alias("value"), s["n"].alias("n")))
     return grouped.select(
-        *keys, date, "n_rows", text.alias("values_text"),
+        *keys, date, "n_rows", values.alias("values"), text.alias("values_text"),
         (F.col("_distinct") > 1).alias("disagree"),
     )

@@ -1,50 +1,26 @@
 """Joins and positions that stay balanced when one key or group is huge."""
 
 from collections.abc import Sequence
-from functools import reduce
-from operator import or_
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..session import materialise
 
-HOT_KEYS = 1000         # most frequent keys that are split
-HOT_MIN_ROWS = 100_000  # rows below which splitting a key is not worth it
-SALTS = 256             # parts a hot key is split into
 
+def spread_join(facts: DataFrame, dims: DataFrame, on: Sequence[str], how: str = "inner") -> DataFrame:
+    """Join ``facts`` to ``dims`` so that hot keys of ``facts`` can be split.
 
-def hot_keys(df: DataFrame, on: Sequence[str], min_rows: int | None = None) -> DataFrame:
-    """The most frequent keys of ``df``, at most ``HOT_KEYS`` rows.
-
-    Any key left out holds less than 1/HOT_KEYS of the rows. The count combines on the map
-    side and reads the key columns only.
-    """
-    least = HOT_MIN_ROWS if min_rows is None else min_rows
-    counts = df.groupBy(*on).agg(F.count(F.lit(1)).alias("_n")).filter(F.col("_n") > least)
-    return counts.orderBy(F.desc("_n"), *on).limit(HOT_KEYS).select(*on)
-
-
-def spread_join(
-    facts: DataFrame, dims: DataFrame, on: Sequence[str], how: str = "inner",
-    min_rows: int | None = None,
-) -> DataFrame:
-    """Join ``facts`` to ``dims`` with the hot keys of ``facts`` spread over many tasks.
-
-    AQE splits a skewed join only when both inputs come straight from a shuffle, which is not
-    so when ``dims`` was aggregated or deduplicated on the join key. Here every hot key gets a
-    salt: its fact rows are divided by a hash of the row, its dims rows are repeated once per
-    salt. Other keys are joined as they are. Rows with a NULL key match nothing and are
-    divided too. The hot-key list is bounded by ``HOT_KEYS``, so it may be broadcast.
+    AQE splits a skewed join by the (compressed) bytes that were shuffled, whatever the rows and however many
+    keys are hot, but only when both inputs come straight from a shuffle for this join. That is not so when ``dims`` was
+    aggregated or deduplicated on the join key. A hash of the key as one more join column makes the planner
+    shuffle both sides anew. Each side is evaluated once, so chains of joins stay linear. Rows with a NULL
+    key match nothing and are split like others.
     """
     on = list(on)
-    hot = F.broadcast(hot_keys(facts, on, min_rows).withColumn("_hot", F.lit(True)))
-    divided = reduce(or_, [F.col(c).isNull() for c in on], F.col("_hot").isNotNull())
-    part = F.pmod(F.xxhash64(*facts.columns), F.lit(SALTS)).cast("int")
-    salted = facts.join(hot, on, "left").withColumn("_salt", F.when(divided, part).otherwise(0))
-    parts = F.when(F.col("_hot"), F.sequence(F.lit(0), F.lit(SALTS - 1))).otherwise(F.array(F.lit(0)))
-    repeated = dims.join(hot, on, "left").withColumn("_salt", F.explode(parts)).drop("_hot")
-    return salted.drop("_hot").join(repeated, [*on, "_salt"], how).drop("_salt")
+    digest = F.xxhash64(*on)
+    joined = facts.withColumn("_digest", digest).join(dims.withColumn("_digest", digest), [*on, "_digest"], how)
+    return joined.drop("_digest")
 
 
 def group_index(
@@ -99,4 +75,4 @@ def dictionary(df: DataFrame, col: str, code: str = "code") -> DataFrame:
 
 def encode_dictionary(df: DataFrame, col: str, code: str) -> DataFrame:
     """Add the dictionary code of ``col`` (NULL for NULL)."""
-    return df.join(dictionary(df, col, code), col, "left")
+    return spread_join(df, dictionary(df, col, code), [col], "left")

@@ -96,14 +96,26 @@ def entity_profile(spark, sf_dir):
 
 @query("same_date_conflicts", """
 WITH e AS (SELECT user_id, CAST(ts AS DATE) AS d, CAST(floor(value) AS BIGINT) AS v FROM events),
-m AS (SELECT * FROM e QUALIFY d = max(d) OVER (PARTITION BY user_id))
-SELECT user_id, d, count(*) AS n_rows,
-       string_agg(CAST(v AS VARCHAR), ' / ' ORDER BY v) AS values_text, count(DISTINCT v) > 1 AS disagree
-FROM m GROUP BY user_id, d HAVING count(*) > 1""")
+m AS (SELECT * FROM e QUALIFY d = max(d) OVER (PARTITION BY user_id)),
+c AS (SELECT user_id, d, v, count(*) AS n FROM m GROUP BY ALL)
+SELECT user_id, d, CAST(sum(n) AS BIGINT) AS n_rows, string_agg(v || CASE WHEN n > 1 THEN ' x' || n ELSE '' END, ' / ' ORDER BY v)
+         AS values_text, count(*) > 1 AS disagree
+FROM c GROUP BY user_id, d HAVING sum(n) > 1""")
 def same_date_conflicts(spark, sf_dir):
     e = W.table(spark, sf_dir, "events").select(
         "user_id", F.col("ts").cast("date").alias("d"), F.floor("value").alias("v"))
-    return S.same_date_conflicts(e, ["user_id"], "d", "v")
+    return S.same_date_conflicts(e, ["user_id"], "d", "v").drop("values")
+
+
+@query("same_date_conflicts_large", """
+WITH c AS (SELECT event_type, CAST(floor(value / 10) AS BIGINT) AS v, count(*) AS n FROM events GROUP BY ALL)
+SELECT event_type, CAST(sum(n) AS BIGINT) AS n_rows, string_agg(v || CASE WHEN n > 1 THEN ' x' || n ELSE '' END, ' / ' ORDER BY v)
+         AS values_text, count(*) > 1 AS disagree
+FROM c GROUP BY event_type HAVING sum(n) > 1""")
+def same_date_conflicts_large(spark, sf_dir):
+    e = W.table(spark, sf_dir, "events").select(
+        "event_type", F.lit("2024-01-01").cast("date").alias("d"), F.floor(F.col("value") / 10).alias("v"))
+    return S.same_date_conflicts(e, ["event_type"], "d", "v").drop("values", "d")
 
 
 @query("newest_version", """
@@ -735,8 +747,7 @@ def unmatched_status(spark, sf_dir):
 stats AS (SELECT 'P' || CAST(entity AS VARCHAR) AS permit_id, count(*) AS n_routine,
                  round_even(avg(score), 1) AS mean_score
           FROM records WHERE purpose = 'Routine' GROUP BY 1),
-q AS (SELECT permit_id, block, n_candidates, 'ambiguous_time_overlap' AS reason FROM unresolved
-      QUALIFY row_number() OVER (PARTITION BY permit_id ORDER BY n_candidates, block) = 1
+q AS (SELECT DISTINCT permit_id, block, n_candidates, 'ambiguous_time_overlap' AS reason FROM unresolved
       UNION ALL SELECT permit_id, NULL, 0, 'no_key_match' FROM rest WHERE status = 'unmatched')
 SELECT permit_id, block, n_candidates, reason, n_routine, mean_score,
        coalesce(n_routine >= 3 AND mean_score < 45, false) AS could_affect_rankings
@@ -1137,7 +1148,7 @@ WITH raw AS (
   SELECT event_id, CASE WHEN value > 20 THEN 25 ELSE 0 END AS start,
          CASE event_type WHEN 'error' THEN '{"err":true,"msg":"bad request"}'
                          WHEN 'signup' THEN '<html>' || props
-                         WHEN 'view' THEN '[]' ELSE '[' || props || ', {"other": 1}]' END AS body, props, event_type
+                         WHEN 'view' THEN CASE WHEN event_id % 5 = 0 THEN '[{"k":"a"}] junk' ELSE '[]' END ELSE '[' || props || ', {"other": 1}]' END AS body, props, event_type
   FROM events)"""
 
 
@@ -1145,7 +1156,8 @@ def _pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     kind, props = F.col("event_type"), F.col("props")
     body = (
         F.when(kind == "error", '{"err":true,"msg":"bad request"}')
-        .when(kind == "signup", F.concat(F.lit("<html>"), props)).when(kind == "view", "[]")
+        .when(kind == "signup", F.concat(F.lit("<html>"), props))
+        .when(kind == "view", F.when(F.col("event_id") % 5 == 0, '[{"k":"a"}] junk').otherwise("[]"))
         .otherwise(F.concat(F.lit("["), props, F.lit(', {"other": 1}]')))
     )
     raw = W.table(spark, sf_dir, "events").select(
@@ -1155,11 +1167,11 @@ def _pages(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query("landed_pages", PAGES_SQL + """
-SELECT event_id, CASE WHEN event_type = 'signup' THEN 'fault'
+SELECT event_id, CASE WHEN event_type = 'signup' OR body LIKE '%junk' THEN 'fault'
                       WHEN event_type = 'error' THEN CASE WHEN start > 0 THEN 'end' ELSE 'fault' END
                       ELSE 'ok' END AS outcome,
        CASE WHEN event_type IN ('click', 'purchase') THEN 2 ELSE 0 END AS n,
-       CASE WHEN event_type = 'signup' THEN 'nonjson:' || body[1:60]
+       CASE WHEN event_type = 'signup' OR body LIKE '%junk' THEN 'nonjson:' || trim(body)
             WHEN event_type = 'error' AND start = 0 THEN 'object:err,msg' ELSE '' END AS note FROM raw""")
 def landed_pages(spark, sf_dir):
     return _pages(spark, sf_dir).select("event_id", "outcome", "n", "note")
@@ -1174,9 +1186,10 @@ def page_records(spark, sf_dir):
 
 
 @query("quarantined_pages", PAGES_SQL + """
-SELECT event_id, start FROM raw WHERE event_type = 'signup' OR (event_type = 'error' AND start = 0)""")
+SELECT event_id, start, body, CASE WHEN event_type = 'error' THEN 'object:err,msg' ELSE 'nonjson:' || trim(body) END AS note
+FROM raw WHERE event_type = 'signup' OR body LIKE '%junk' OR (event_type = 'error' AND start = 0)""")
 def quarantined_pages(spark, sf_dir):
-    return PG.quarantined(_pages(spark, sf_dir), "event_id", "start").drop("note")
+    return PG.quarantined(_pages(spark, sf_dir), "event_id", "start")
 
 
 # --- quality gate ------------------------------------------------------------------

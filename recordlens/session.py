@@ -1,6 +1,6 @@
 """Session defaults and lineage cutting."""
 
-import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -25,15 +25,18 @@ def build_session(app: str = "recordlens", master: str | None = None, **conf: st
     return builder.getOrCreate()
 
 
+def staging_folder(spark: SparkSession) -> str:
+    """Folder that all executors share: ``spark.checkpoint.dir``, or else a part of the warehouse."""
+    named = spark.conf.get("spark.checkpoint.dir", None)
+    return (named or spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_staging").rstrip("/")
+
+
 def materialise(df: DataFrame) -> DataFrame:
-    """Write ``df`` once to the reliable checkpoint folder and read it back from there.
+    """Write ``df`` once to Parquet in the shared folder and read it back from there.
 
     Used where several branches read one expensive intermediate, or where a row-to-partition
-    assignment has to stay put. The folder is the shared one named by ``spark.checkpoint.dir``;
-    only a session without one (a test) gets a temporary folder.
+    assignment has to stay put. Readers keep column pruning and pushed filters.
     """
-    context = df.sparkSession.sparkContext
-    if context.getCheckpointDir() is None:
-        folder = df.sparkSession.conf.get("spark.checkpoint.dir", None)
-        context.setCheckpointDir(folder or tempfile.mkdtemp(prefix="recordlens-checkpoint-"))
-    return df.checkpoint(eager=True)
+    path = f"{staging_folder(df.sparkSession)}/stage-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -19,19 +19,23 @@ def classify_pages(
 
     An array is a page of records. An object with ``err`` true past the first page is the end
     marker; on the first page it is a rejected request. Anything else is a fault, never an
-    empty page.
+    empty page, also an array with something behind its end.
     """
     text = F.col(body)
     parsed = F.from_json(text, T.ArrayType(record))
-    is_array = (_first_char(text) == "[") & parsed.isNotNull()
+    # As the value of a field, an array with trailing text makes the whole object malformed.
+    whole = F.from_json(F.concat(F.lit('{"page":'), text, F.lit("}")), "page string, corrupt string",
+                        {"columnNameOfCorruptRecord": "corrupt"})
+    closed = F.rtrim(text).endswith("]") & whole["corrupt"].isNull()
+    is_array = (_first_char(text) == "[") & parsed.isNotNull() & closed
     is_object = (_first_char(text) == "{") & F.get_json_object(text, "$").isNotNull()
     is_end = is_object & (F.get_json_object(text, "$.err") == "true") & (F.col(start) > 0)
     outcome = F.when(is_array, "ok").when(is_end, "end").otherwise("fault")
     keys = F.array_join(F.json_object_keys(text), ",")
     note = (
         F.when(is_array | is_end, "")
-        .when(is_object, F.concat(F.lit("object:"), F.substring(keys, 1, 40)))
-        .otherwise(F.concat(F.lit("nonjson:"), F.substring(F.trim(text), 1, 60)))
+        .when(is_object, F.concat(F.lit("object:"), keys))
+        .otherwise(F.concat(F.lit("nonjson:"), F.trim(text)))
     )
     return pages.withColumns({
         "records": F.when(is_array, parsed),
@@ -46,13 +50,13 @@ def page_records(classified: DataFrame, *carry: str) -> DataFrame:
     return classified.filter(F.col("outcome") == "ok").select(*carry, F.inline("records"))
 
 
-def quarantined(classified: DataFrame, *carry: str) -> DataFrame:
-    """Pages that could not be used, kept for inspection."""
-    return classified.filter(F.col("outcome") == "fault").select(*carry, "note")
+def quarantined(classified: DataFrame, *carry: str, body: str = "body") -> DataFrame:
+    """Pages that could not be used, with their whole bodies, kept for inspection."""
+    return classified.filter(F.col("outcome") == "fault").select(*carry, body, "note")
 
 
 def request_log(classified: DataFrame, stamp: Column) -> DataFrame:
     """Request-log rows of the pages."""
     return classified.select(
-        stamp.alias("ts"), "window", "start", "outcome", "n", F.substring("note", 1, 120).alias("note")
+        stamp.alias("ts"), "window", "start", "outcome", "n", "note"
     )

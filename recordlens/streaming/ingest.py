@@ -21,13 +21,15 @@ RECORDS, LOG, FAULTS = "records", "request_log", "quarantine"
 
 def _write_batch(target: str):
     def write(batch: DataFrame, batch_id: int) -> None:
-        stamped = classify_pages(batch).withColumn("scraped_at", utc_stamp())
+        # Kept for the three writes, so that the landing files are read and parsed once.
+        stamped = classify_pages(batch).withColumn("scraped_at", utc_stamp()).persist()
         for name, frame in (
             (RECORDS, page_records(stamped, "window", "scraped_at")),
             (LOG, request_log(stamped, F.col("scraped_at"))),
             (FAULTS, quarantined(stamped, "window", "start", "scraped_at")),
         ):
             frame.write.mode("overwrite").parquet(f"{target}/{name}/batch_id={batch_id}")
+        stamped.unpersist()
 
     return write
 

@@ -10,6 +10,7 @@ sys.path.insert(0, str(Path(__file__).resolve().parents[1] / "tools"))
 
 import compare  # noqa: E402
 import __spark_entry__ as entry  # noqa: E402
+from recordlens.plans.catalog import ORACLE, QUERIES  # noqa: E402
 
 SF = "/root/testdata/sf0.001"
 pytestmark = pytest.mark.skipif(not Path(SF).exists(), reason="shared test tables not present")
@@ -24,10 +25,11 @@ def connection():
 
 
 def test_every_query_has_sql():
-    assert set(entry.oracle_sql()) == set(entry.queries())
+    assert set(ORACLE) == set(QUERIES)
+    assert set(QUERIES) <= set(entry.queries()) and set(ORACLE) <= set(entry.oracle_sql())
 
 
-@pytest.mark.parametrize("name", sorted(entry.queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query(spark, connection, name):
     line = compare.compare(spark, SF, name, entry.queries()[name], entry.oracle_sql().get(name), connection)
     assert line.startswith("ok"), line

@@ -10,15 +10,13 @@ from pyspark.sql import functions as F
 
 from recordlens.operators import resolve as R
 from recordlens.operators import select as S
-from recordlens.operators import spread as SP
 
 N = 20_000
 LIMIT_SECONDS = 120
 
 
 @pytest.fixture(autouse=True)
-def bounded_time(monkeypatch):
-    monkeypatch.setattr(SP, "HOT_MIN_ROWS", 1000)
+def bounded_time():
     started = time.time()
     yield
     assert time.time() - started < LIMIT_SECONDS
