@@ -20,7 +20,6 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .. import fixed_values as V
-from ..functions.text import either_contains
 from ..session import materialise
 from .select import asc, dedupe_prefer, desc
 from .spread import spread_join
@@ -93,18 +92,39 @@ def _classes(sets: DataFrame, ident: str) -> DataFrame:
     )
 
 
+def _rarest(classes: DataFrame, frequency: DataFrame, rep: str, min_shared: int) -> DataFrame:
+    """(block, rep, event) with the events of each class, but for its ``min_shared`` - 1 most frequent ones."""
+    ranked = Window.partitionBy("block", rep).orderBy("_f", "event")
+    return (
+        classes.filter(F.size("events") >= min_shared)
+        .select("block", F.col("low").alias(rep), F.size("events").alias("_n"), F.explode("events").alias("event"))
+        .join(frequency, ["block", "event"])
+        .withColumn("_place", F.row_number().over(ranked))
+        .filter(F.col("_place") <= F.col("_n") - (min_shared - 1))
+        .select("block", rep, "event")
+    )
+
+
 def _shared_by_class(a_classes: DataFrame, b_classes: DataFrame, min_shared: int) -> DataFrame:
-    """Class pairs of a block with at least ``min_shared`` common events."""
-    a = a_classes.select("block", F.col("low").alias("a_rep"), F.explode("events").alias("event"))
+    """Class pairs of a block with at least ``min_shared`` common events.
+
+    Such a pair has a common event among the rare ones of both, in the same order of frequency. So only
+    those are joined, and an event that a whole block shares brings no pairs. The counts are exact.
+    """
+    seen = [c.select("block", F.explode("events").alias("event")) for c in (a_classes, b_classes)]
+    frequency = _union(seen).groupBy("block", "event").agg(F.count(F.lit(1)).alias("_f"))
+    near = _rarest(a_classes, frequency, "a_rep", min_shared).join(
+        _rarest(b_classes, frequency, "b_low", min_shared), ["block", "event"]
+    ).select("block", "a_rep", "b_low").distinct()
+    a = a_classes.select("block", F.col("low").alias("a_rep"), F.col("events").alias("_a"))
     b = b_classes.select(
         "block", F.col("low").alias("b_low"), F.col("high").alias("b_high"),
-        F.col("size").alias("b_size"), F.explode("events").alias("event"),
-    )
+        F.col("size").alias("b_size"), F.col("events").alias("_b"))
     return (
-        a.join(b, ["block", "event"])
-        .groupBy("block", "a_rep", "b_low", "b_high", "b_size")
-        .agg(F.count(F.lit(1)).alias("shared"))
+        near.join(a, ["block", "a_rep"]).join(b, ["block", "b_low"])
+        .withColumn("shared", F.size(F.array_intersect("_a", "_b")).cast("long"))
         .filter(F.col("shared") >= min_shared)
+        .drop("_a", "_b")
     )
 
 
@@ -203,68 +223,47 @@ def shared_counts(
     return pairs.join(counts, [a_id, b_id], "left").withColumn(name, F.coalesce(name, F.lit(0)))
 
 
-def _substrings(text: Column, min_len: int) -> Column:
-    """All distinct substrings of at least ``min_len`` characters."""
-    length = F.length(text)
-    every = F.flatten(
-        F.transform(
-            F.sequence(F.lit(min_len), length),
-            lambda n: F.transform(
-                F.sequence(F.lit(1), length - n + 1), lambda start: F.substr(text, start, n)
-            ),
-        )
-    )
-    return F.array_distinct(every)
+def _windows(frame: DataFrame, other: DataFrame, name: str, other_name: str, window: str) -> DataFrame:
+    """``frame`` without ``name``, once per distinct part of the name that is as long as some other name of the block.
+
+    Only lengths that occur are cut, so a long name costs its length times the number of those lengths.
+    """
+    lengths = other.groupBy("block").agg(F.collect_set(F.length(other_name)).alias("_lengths"))
+    by_length = spread_join(frame, lengths, ["block"]).withColumn("_n", F.explode("_lengths")).filter(
+        F.col("_n") <= F.length(name)).withColumn("_parts", F.array_distinct(F.transform(
+            F.sequence(F.lit(1), F.length(name) - F.col("_n") + 1), lambda at: F.substr(F.col(name), at, F.col("_n")))))
+    return by_length.drop("_lengths", "_n", name).withColumn(window, F.explode("_parts")).drop("_parts")
 
 
-def _names_that_contain(
-    a: DataFrame, b: DataFrame, b_id: str, min_len: int, pair_limit: int, stage: Stage
-) -> DataFrame:
+def _names_that_contain(a: DataFrame, b: DataFrame, b_id: str, min_len: int) -> DataFrame:
     """(block, a_name) with the lowest and highest B whose name contains it or is in it.
 
-    Blocks with few name combinations compare names directly. Bigger ones look substrings up
-    by equality, which grows with the names and not with their product.
+    Parts of names are looked up by equality, which grows with the names and not with their product. A name
+    that is taken apart is known by its MD5, so that it is not repeated with each part.
     """
-    an = a.filter(F.length("a_name") >= min_len).select("block", "a_name").distinct()
+    an = a.filter(F.length("a_name") >= min_len).select("block", "a_name", F.md5("a_name").alias("_md5")).distinct()
     bn = (
         b.filter(F.length("b_name") >= min_len)
         .groupBy("block", "b_name")
         .agg(F.min(b_id).alias("low"), F.max(b_id).alias("high"))
     )
-    sizes = (
-        an.groupBy("block").agg(F.count(F.lit(1)).alias("_na"))
-        .join(bn.groupBy("block").agg(F.count(F.lit(1)).alias("_nb")), "block")
-        .select("block", (F.col("_na") * F.col("_nb") <= pair_limit).alias("_small"))
-    )
-    an = stage(spread_join(an, sizes, ["block"]))
-    bn = stage(spread_join(bn, sizes, ["block"]))
-    found = ["block", "a_name", "low", "high"]
-
-    small_a, small_b = an.filter("_small").drop("_small"), bn.filter("_small").drop("_small")
-    direct = small_a.join(small_b, "block").filter(either_contains("a_name", "b_name", min_len))
-
-    big_a, big_b = an.filter("NOT _small").drop("_small"), bn.filter("NOT _small").drop("_small")
-    b_inside = big_a.withColumn("b_name", F.explode(_substrings(F.col("a_name"), min_len))).join(
-        big_b, ["block", "b_name"]
+    ends = [F.min("low").alias("low"), F.max("high").alias("high")]
+    b_inside = (
+        _windows(an, bn, "a_name", "b_name", "b_name").join(bn, ["block", "b_name"])
+        .groupBy("block", "_md5").agg(*ends).join(an, ["block", "_md5"])
     )
     a_inside = (
-        big_b.withColumn("a_name", F.explode(_substrings(F.col("b_name"), min_len)))
-        .groupBy("block", "a_name")
-        .agg(F.min("low").alias("low"), F.max("high").alias("high"))
-        .join(big_a, ["block", "a_name"])
-    )
-    return (
-        _union([direct.select(*found), b_inside.select(*found), a_inside.select(*found)])
-        .groupBy("block", "a_name")
-        .agg(F.min("low").alias("low"), F.max("high").alias("high"))
+        _windows(bn, an, "b_name", "a_name", "a_name")
+        .groupBy("block", "a_name").agg(*ends).join(an, ["block", "a_name"])
     )
+    found = ["block", "a_name", "low", "high"]
+    return _union([b_inside.select(*found), a_inside.select(*found)]).groupBy("block", "a_name").agg(*ends)
 
 
 def corroborated_match(
     a: DataFrame, b: DataFrame, a_id: str, b_id: str, block_cols: Sequence[str],
     a_name: str, b_name: str, events: Events, min_shared: int = V.MIN_SHARED_EVENTS,
-    min_len: int = 1, pair_limit: int = 256,
-    stage: Stage = materialise,
+    min_len: int = 1, stage: Stage = materialise,
 ) -> DataFrame:
     """Same address block, and names that contain each other or enough shared events.
 
@@ -276,7 +275,7 @@ def corroborated_match(
     kb = _blocked(b, b_id, block_cols, b_name).withColumnRenamed(b_name, "b_name")
     kb = stage(spread_join(kb, ka.select("block").distinct(), ["block"], "left_semi"))
 
-    named = _names_that_contain(ka, kb, b_id, min_len, pair_limit, stage)
+    named = _names_that_contain(ka, kb, b_id, min_len)
     by_name = spread_join(ka, named, ["block", "a_name"])
 
     a_sets = stage(_event_sets(ka.select(a_id, "block"), a_id, events.a, events.on))

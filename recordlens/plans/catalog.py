@@ -596,12 +596,12 @@ def _tiered(spark: SparkSession, sf_dir: str) -> R.TierMatches:
     return R.tier_match(a, b, "permit_id", "facility_id", V.MATCH_TIERS, events)
 
 
-def _corroborated(spark: SparkSession, sf_dir: str, matched: DataFrame, pair_limit: int = 256) -> DataFrame:
+def _corroborated(spark: SparkSession, sf_dir: str, matched: DataFrame) -> DataFrame:
     a, b, events = _sides(spark, sf_dir)
     left = a.join(matched.select("permit_id"), "permit_id", "left_anti")
     return R.corroborated_match(
         left.withColumnRenamed("k_loose", "a_loose"), b.withColumnRenamed("k_loose", "b_loose"),
-        "permit_id", "facility_id", ("k_street", "zip"), "a_loose", "b_loose", events, pair_limit=pair_limit)
+        "permit_id", "facility_id", ("k_street", "zip"), "a_loose", "b_loose", events)
 
 
 SIDES = f"WITH {W.SIDES_SQL}"
@@ -630,8 +630,8 @@ def corroborated_match(spark, sf_dir):
 
 @query("corroborated_match_big_blocks", SIDES + " SELECT * FROM corroborated")
 def corroborated_match_big_blocks(spark, sf_dir):
-    """The same answer by substring lookup alone, the way a big block is handled."""
-    return _corroborated(spark, sf_dir, _tiered(spark, sf_dir).matched, pair_limit=0).select(*MATCH_COLS)
+    """Blocks of every size take the one path of parts looked up by equality."""
+    return _corroborated(spark, sf_dir, _tiered(spark, sf_dir).matched).select(*MATCH_COLS)
 
 
 @query("shared_counts", SIDES + """

@@ -79,6 +79,27 @@ def test_many_names_at_one_address(spark):
     assert got.filter(F.substring("a", 2, 9) != F.substring("b", 2, 9)).count() == 0
 
 
+def test_a_very_long_name(spark):
+    long = "".join(chr(97 + i * i % 23) for i in range(10_000))
+    a = spark.createDataFrame([("a1", "x", long), ("a2", "x", "owl")], "a string, block string, a_name string")
+    b = spark.createDataFrame([("b1", "x", long[4000:4020]), ("b2", "x", "blueowlcafe"), ("b3", "y", long)],
+                              "b string, block string, b_name string")
+    got = {(r.a_name == long, r.low, r.high) for r in R._names_that_contain(a, b, "b", 1).collect()}
+    assert got == {(True, "b1", "b1"), (False, "b2", "b2")}
+
+
+def test_an_event_shared_by_a_whole_block_brings_no_pairs(spark):
+    """All classes share one event; each has a partner with which it shares two more."""
+    def classes(prefix):
+        day = lambda d: F.struct(d.cast("long").alias("day"))
+        name = F.concat(F.lit(prefix), "id")
+        return spark.range(N).select(F.lit("x").alias("block"), name.alias("low"), name.alias("high"), F.lit(1).alias("size"),
+                                     F.array(day(F.lit(0)), day(F.col("id") * 2 + 1), day(F.col("id") * 2 + 2)).alias("events"))
+    got = R._shared_by_class(classes("a"), classes("b"), 2)
+    assert got.count() == N
+    assert got.filter("substr(a_rep, 2) <> substr(b_low, 2) OR shared <> 3").count() == 0
+
+
 def test_handoff_rules_out_a_huge_block(spark):
     many = spark.range(N).select(
         F.lit("hot").alias("block"), F.concat(F.lit("f"), "id").alias("b"), F.lit("1").alias("num"),
