@@ -56,6 +56,17 @@ def window_audit(
     return audited.select(window, state.alias("state"), "n", "n_faults")
 
 
+def window_status(plan: DataFrame, audited: DataFrame, duplicates: DataFrame, plan_key: str, window: str) -> DataFrame:
+    """One row per planned window: its days, state ("planned" before any request), rows, surplus copies and faults."""
+    audit = audited.select(F.col(window).alias(plan_key), "state", "n", "n_faults")
+    surplus = duplicates.select(F.col(window).alias(plan_key), "dup")
+    none = F.lit(0).cast("long")
+    return plan.join(audit, plan_key, "left").join(surplus, plan_key, "left").select(
+        plan_key, "from_day", "to_day", F.coalesce("state", F.lit("planned")).alias("state"),
+        F.coalesce("n", none).alias("n"), F.coalesce("dup", none).alias("dup"),
+        F.coalesce("n_faults", none).alias("n_faults"))
+
+
 def pending_windows(plan: DataFrame, audited: DataFrame, plan_key: str, window: str) -> DataFrame:
     """Planned windows not yet done."""
     done = audited.filter("state = 'done'").select(F.col(window).alias(plan_key))

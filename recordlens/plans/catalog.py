@@ -1129,6 +1129,32 @@ def pending_windows(spark, sf_dir):
         "key", "from_day", "to_day")
 
 
+@query("window_status", LOG_SQL + PLAN_SQL + """,
+by_day AS (SELECT CAST(day(from_day) AS VARCHAR) AS key, from_day, to_day FROM plan),
+surplus AS (SELECT CAST(user_id AS VARCHAR) AS key, count(*) - count(DISTINCT event_type) AS dup FROM events GROUP BY 1)
+SELECT key, from_day, to_day, coalesce(state, 'planned') AS state, coalesce(n, 0) AS n, coalesce(dup, 0) AS dup,
+       coalesce(n_faults, 0) AS n_faults
+FROM by_day LEFT JOIN audit ON "window" = key LEFT JOIN surplus USING (key)""")
+def window_status(spark, sf_dir):
+    plan = _plan(spark, sf_dir).withColumn("key", F.day("from_day").cast("string"))
+    ids = W.table(spark, sf_dir, "events").select(F.col("user_id").cast("string").alias("window"), "event_type")
+    return FE.window_status(plan, FE.window_audit(_fetch_log(spark, sf_dir)), FE.duplicate_ids(ids, "window", "event_type"),
+                            "key", "window")
+
+
+def _fixed_names(part: str, names) -> str:
+    values = ", ".join("('{}', {}, '{}')".format(part, i, n.replace("'", "''")) for i, n in enumerate(names))
+    return f" UNION ALL SELECT * FROM (VALUES {values})"
+
+
+@query("payload_header", "SELECT 'city' AS part, row_number() OVER (ORDER BY c) - 1 AS code, c AS name FROM "
+       "(SELECT DISTINCT c_mktsegment AS c FROM customer WHERE c_mktsegment IS NOT NULL)"
+       + _fixed_names("category", V.CATEGORIES) + _fixed_names("band", [b[0] for b in V.BANDS])
+       + _fixed_names("field", V.MAP_FIELDS))
+def payload_header(spark, sf_dir):
+    return SK.payload_header(W.table(spark, sf_dir, "customer").select("c_mktsegment"), "c_mktsegment")
+
+
 @query("incremental_start", with_records(" SELECT max(d) + 1 AS from_day FROM records"))
 def incremental_start(spark, sf_dir):
     return FE.incremental_start(W.records(spark, sf_dir), "d")

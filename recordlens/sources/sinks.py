@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from .. import fixed_values as V
 from ..functions.dates import recency_cutoff
 from ..operators.select import newest_version
+from ..operators.spread import dictionary
 
 
 def utc_stamp() -> Column:
@@ -85,3 +86,18 @@ def publish_metrics(
         "generated": F.current_date(),
         "recency_months": F.lit(months),
     })
+
+
+def payload_header(df: DataFrame, city: str) -> DataFrame:
+    """part, code, name: what the codes and positions of payload rows stand for.
+
+    Cities come from the rows; categories, score bands and the order of the fields are fixed.
+    """
+    fixed = [
+        (part, code, name)
+        for part, names in (("category", V.CATEGORIES), ("band", [b[0] for b in V.BANDS]), ("field", V.MAP_FIELDS))
+        for code, name in enumerate(names)
+    ]
+    cities = dictionary(df, city).select(
+        F.lit("city").alias("part"), F.col("code").cast("long").alias("code"), F.col(city).alias("name"))
+    return cities.unionByName(df.sparkSession.createDataFrame(fixed, "part string, code long, name string"))
