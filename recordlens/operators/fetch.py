@@ -14,7 +14,7 @@ def window_plan(
     No windows where ``start`` is after ``end``, as for a feed that is up to date.
     """
     step = F.expr(f"interval {days} days")
-    starts = F.explode(F.sequence(F.col(start), F.col(end), step)).alias("from_day")
+    starts = F.explode(F.sequence(F.col(start), F.greatest(start, end), step)).alias("from_day")
     return bounds.filter(F.col(start) <= F.col(end)).select(F.col(end).alias("_end"), starts).select(
         "from_day", F.least(F.date_add("from_day", days - 1), "_end").alias("to_day")
     )
