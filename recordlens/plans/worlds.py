@@ -14,12 +14,12 @@ PREFIXES = (
     "", "COTA - ", "", "RW - ", "WL -  ", "", "TC - ", "", "7 - ", "", "PF ", "",
 )
 STREETS = (
-    " RESEARCH SB BLVD Unit 210A", " N Ih 35", " Fm 2222", " e Us 290 Hwy Wb", " Oak Manor",
-    " S Lamar Blvd Ste 900", " CANYON RIDGE", " Elmont Dr., 78741", " Tesla Rd # Bunit",
-    " W Parmer Ln Bldg 2", " IH 35 SVRD NB", " O'BRIEN ST", " E Ben White Blvd #12",
-    " Barton Creek Blvd Bunit 300", " SH 71 #", " McNeil Dr Unit # 4", " FM-685", " Manor Rd",
-    " RR 620 S Rm 1154.2", " Burnet Rd. Suite 5-B", " 5TH ST.", " n Lamar", " Hwy 183 Floor 2",
-    " US290 E", "  Airport   Blvd ",
+    " QUARRY SB BLVD Unit 310C", " N Ih 20", " Fm 118", " e Us 77 Hwy Wb", " Pine Hollow",
+    " S Juniper Blvd Ste 450", " HERON POINT", " Walnut Dr., 78741", " Edison Rd # Bunit",
+    " W Cypress Ln Bldg 7", " IH 20 SVRD NB", " O'NEIL ST", " E Sam Hill Blvd #31",
+    " Rocky Ford Blvd Bunit 120", " SH 19 #", " McRae Dr Unit # 9", " FM-402", " Elgin Rd",
+    " RR 310 S Rm 12.4", " Larch Rd. Suite 2-D", " 9TH ST.", " n Juniper", " Hwy 64 Floor 3",
+    " US77 E", "  Harbour   Blvd ",
 )
 ENDINGS = (
     " Austin", " Bee Caves", ", AUSTIN, TX, 78753 Austin", "", ", Pflugerville", " WEST LAKE HILLS",
@@ -28,9 +28,9 @@ ENDINGS = (
     " Sunset Valley", " Elgin", " Austin", " Dripping Springs",
 )
 BASES = {
-    "AUTOMOBILE": "Joe's  Foods Mart", "BUILDING": "Mandola's Italian Market",
-    "FURNITURE": "Levy at Q2 Stadium/South Main", "HOUSEHOLD": "Dell Children's Medical Center",
-    "MACHINERY": "County Line",
+    "AUTOMOBILE": "Ann's  Foods Mart", "BUILDING": "Lucia's Italian Market",
+    "FURNITURE": "Arrow at K9 Stadium/North Hall", "HOUSEHOLD": "Pine Children's Medical Center",
+    "MACHINERY": "River Line",
 }
 
 
