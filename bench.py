@@ -9,7 +9,7 @@ import statistics
 import sys
 import time
 
-from recordlens.plans.catalog import QUERIES
+from recordlens.plans.whole import QUERIES
 from recordlens.session import build_session
 
 HEADLINE = [
@@ -18,6 +18,7 @@ HEADLINE = [
     "weekly_summary", "name_keys", "address_rules", "categorize", "squish_text", "tier_match",
     "corroborated_match", "handoff_merges", "review_queue", "geocode_coverage", "geocode_retry_pass",
     "spiral_offsets", "dictionary_codes", "window_audit", "page_records", "checks", "verification_sheet",
+    "merged_inspections", "map_table",
 ]
 
 

@@ -5,7 +5,9 @@ from pyspark.sql import functions as F
 
 from .. import fixed_values as V
 from .. import schemas as S
+from ..functions.address import geocode_query
 from ..functions.text import alnum_key
+from ..operators.geocode import mark_cached
 from ..operators.merge import annotate_missing, coalesce_attrs, reparent, union_dedupe
 from ..operators.select import first_by
 from ..operators.spread import spread_join
@@ -62,3 +64,25 @@ def merge_inspections(
         {"inspection_type": "_type", "program_name": "_program"}, ["inspectionID"],
     )
     return filled.select(*S.INSPECTIONS.fieldNames())
+
+
+def merged_counts(merged: DataFrame) -> DataFrame:
+    """Rows per source and purpose."""
+    return merged.groupBy("source", "purpose").agg(F.count(F.lit(1)).alias("n"))
+
+
+def cached_share(merged: DataFrame, export: DataFrame, cache: DataFrame) -> DataFrame:
+    """One row: geocode keys of facilities the export knew, how many are still resolved, and facilities it did not know.
+
+    A merge that rewrites established addresses shows here as lost keys.
+    """
+    old = export.select("facility_id").distinct().withColumn("_old", F.lit(True))
+    sites = merged.select("facility_id", "street", "city", "zip5", "address").distinct().withColumn(
+        "query", geocode_query("street", "city", "zip5", "address"))
+    marked = mark_cached(sites, cache).join(old, "facility_id", "left")
+    known = F.col("_old").isNotNull()
+    return marked.agg(
+        F.count_if(known).alias("n_established"),
+        F.count_if(known & F.col("mapped")).alias("n_cached"),
+        F.count_distinct(F.when(~known, F.col("facility_id"))).alias("n_new_facilities"),
+    ).withColumn("pct", F.bround(F.col("n_cached") * 100 / F.nullif("n_established", F.lit(0)), 1))
