@@ -17,8 +17,10 @@ def score_profile(df: DataFrame, key: str, score: str, date: str) -> DataFrame:
     """Count, mean, extremes, newest date and the score on it (the lowest on a tie).
 
     Date and inverted score share one long, so the pick is a plain ``max``: the whole profile
-    stays a hash aggregate with map-side combine, however many rows one entity has.
+    stays a hash aggregate with map-side combine, however many rows one entity has. Scores are
+    taken as whole numbers of 32 bits, negative ones too; a fraction is cut off.
     """
+    df = df.withColumn(score, F.col(score).cast("int"))
     packed = F.shiftleft(F.unix_date(F.col(date)).cast("long"), 32) + (
         F.lit(INT_MAX).cast("long") - F.col(score)
     )
@@ -26,7 +28,7 @@ def score_profile(df: DataFrame, key: str, score: str, date: str) -> DataFrame:
         df.groupBy(key)
         .agg(
             F.count(F.lit(1)).alias("n"),
-            F.bround(F.avg(F.col(score).cast("int")), 2).alias("mean_score"),
+            F.bround(F.avg(score), 2).alias("mean_score"),
             F.min(score).alias("min_score"),
             F.max(score).alias("max_score"),
             F.max(date).alias("latest"),
@@ -80,15 +82,17 @@ def rank_tables(
     The category filter comes before the one-slot rule: filtering afterwards would lose a
     chosen entity whose slot was taken by one of another category.
     """
-    only = profile.filter(F.col(category) == chosen)
-    parts = [
-        rank_table(frame, direction, key, min_n, dedupe_by, k).withColumn(
-            "table", F.lit(f"{scope}_{direction}")
-        )
-        for scope, frame in (("all", profile), ("chosen", only))
-        for direction, min_n in (("top", min_top), ("bottom", min_bottom))
-    ]
-    out = parts[0]
-    for part in parts[1:]:
-        out = out.unionByName(part)
-    return out
+    # Each profile goes into the tables it belongs to, and all tables are ranked at once: the profile is
+    # planned once, and map tasks keep k rows per table before the shuffle.
+    enough = {"top": F.col("n") >= min_top, "bottom": F.col("n") >= min_bottom}
+    scopes = {"all": F.lit(True), "chosen": F.col(category) == chosen}
+    member = F.array_compact(F.array(*[
+        F.when(inside & least, f"{scope}_{direction}")
+        for scope, inside in scopes.items() for direction, least in enough.items()
+    ]))
+    rows = profile.withColumn("table", F.explode(member))
+    mean = F.when(F.col("table").endswith("_top"), -F.col("mean_score")).otherwise(F.col("mean_score"))
+    order = [mean.asc_nulls_last(), desc("n"), desc("latest"), asc(key)]
+    slots = dedupe_prefer(rows, ["table", *dedupe_by], order)
+    rank = F.row_number().over(Window.partitionBy("table").orderBy(*order))
+    return slots.withColumn("rank", rank).filter(F.col("rank") <= k)

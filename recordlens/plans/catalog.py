@@ -1315,20 +1315,18 @@ def ranking_rederived(spark, sf_dir):
     """The published ranking against an independent plan: windows over joined rows."""
     published = top_ranked(spark, sf_dir)
     rows = W.records(spark, sf_dir)
-    rows.createOrReplaceTempView("recordlens_records")
-    W.table(spark, sf_dir, "customer").createOrReplaceTempView("recordlens_customer")
     derived = spark.sql("""
-      WITH pool AS (SELECT * FROM recordlens_records WHERE score > 0 AND (kind IS NULL OR kind = 'SCORED')
+      WITH pool AS (SELECT * FROM {records} WHERE score > 0 AND (kind IS NULL OR kind = 'SCORED')
                     AND purpose = 'Routine'),
       t AS (SELECT p.entity, bround(avg(score), 2) AS mean_score, count(*) AS n, min(score) AS min_score,
                    max(score) AS max_score, max_by(score, struct(d, -score)) AS latest_score, max(d) AS latest,
                    first(c_nationkey) AS venue
-            FROM pool p JOIN recordlens_customer ON c_custkey = p.entity GROUP BY p.entity),
-      e AS (SELECT * FROM t WHERE n >= 5 AND latest >= add_months((SELECT max(d) FROM recordlens_records), -18)),
+            FROM pool p JOIN {customer} ON c_custkey = p.entity GROUP BY p.entity),
+      e AS (SELECT * FROM t WHERE n >= 5 AND latest >= add_months((SELECT max(d) FROM {records}), -18)),
       s AS (SELECT *, row_number() OVER (PARTITION BY venue ORDER BY mean_score DESC, n DESC, latest DESC, entity) AS slot FROM e),
       k AS (SELECT * FROM s WHERE slot = 1 ORDER BY mean_score DESC, n DESC, latest DESC, entity LIMIT 10)
       SELECT entity, mean_score, n, min_score, max_score, latest_score, latest, venue,
-             row_number() OVER (ORDER BY mean_score DESC, n DESC, latest DESC, entity) AS rank FROM k""")
+             row_number() OVER (ORDER BY mean_score DESC, n DESC, latest DESC, entity) AS rank FROM k""", records=rows, customer=W.table(spark, sf_dir, "customer"))
     return Q.run_checks([Q.same_ranking("ranking reproduces in order", published, derived)])
 
 

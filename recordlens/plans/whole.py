@@ -21,8 +21,8 @@ from ..streaming.ingest import FAULTS, current_records, ingest_pages, read_bronz
 from . import crosswalk as CW
 from . import gate, geocode, merged, publish, reconcile
 from . import worlds as W
-from .catalog import (ADDRESS_CTES, DISPLAY_STREET_1, DISPLAY_STREET_2, NORMAL_STREET_SQL, ORACLE, QUERIES,
-                      _category_sql, _squish_sql, query)
+from .catalog import (ADDRESS_CTES, DISPLAY_SQL, DISPLAY_STREET_1, DISPLAY_STREET_2, NORMAL_STREET_SQL, ORACLE, QUERIES,
+                      VENUE_SQL, _category_sql, _squish_sql, query)
 
 NOT_BEFORE = "1997-02-01"  # the shared tables are older than the published overlap
 
@@ -393,12 +393,64 @@ def gate_map(spark, sf_dir):
     return Q.run_checks(gate.map_checks(rows, publish_metrics(latest, ins, publish.DATE, located), ins))
 
 
+RANKED_SQL = MERGED_SQL + f""",
+pool AS (SELECT *, {DISPLAY_STREET_1} AS ds1 FROM ins
+         WHERE score > 0 AND (inspection_type IS NULL OR inspection_type = '{V.SCORED_TYPE}') AND purpose = 'Routine'
+           AND NOT regexp_matches(restaurant_name, '(?i)^OOB\\b|INELIGIBLE')),
+who AS (SELECT facility_id, restaurant_name AS name, {DISPLAY_STREET_2} AS street, city,
+               {VENUE_SQL.replace('{0}', 'restaurant_name')} AS venue, {_category_sql('restaurant_name')} AS category
+        FROM pool QUALIFY row_number() OVER (PARTITION BY facility_id
+          ORDER BY inspection_date, score, restaurant_name, street, city) = 1),
+sums AS (SELECT facility_id, round_even(avg(score), 2) AS mean_score, count(*) AS n, min(score) AS min_score,
+                max(score) AS max_score, arg_max(score, (inspection_date, -score)) AS latest_score,
+                max(inspection_date) AS latest FROM pool GROUP BY facility_id),
+pick AS (SELECT * FROM sums JOIN who USING (facility_id)
+         WHERE n >= 3 AND latest >= CAST((SELECT max(inspection_date) FROM ins) - INTERVAL 18 MONTH AS DATE)),
+listed AS (
+  SELECT "table", CASE WHEN side = 'top' THEN -mean_score ELSE mean_score END AS o, p.*
+  FROM pick p, (VALUES ('all_top', 'top', 5), ('all_bottom', 'bottom', 3), ('chosen_top', 'top', 5),
+                       ('chosen_bottom', 'bottom', 3)) AS v("table", side, least)
+  WHERE n >= least AND ("table" LIKE 'all%' OR category = '{V.RESTAURANT}')
+  QUALIFY row_number() OVER (PARTITION BY "table", venue ORDER BY o, n DESC, latest DESC, facility_id) = 1),
+ranked AS (SELECT "table", row_number() OVER (PARTITION BY "table" ORDER BY o, n DESC, latest DESC, facility_id) AS rank,
+                  facility_id, name, category, street, city, mean_score, n, min_score, max_score, latest_score, latest, venue
+           FROM listed QUALIFY rank <= 10)
+"""
+
+
+@query("published_rankings", RANKED_SQL + " SELECT * EXCLUDE (venue) FROM ranked")
+def published_rankings(spark, sf_dir):
+    return publish.rankings(_merged(spark, sf_dir))
+
+
+@query("gate_rankings", RANKED_SQL + f""",
+shown AS (SELECT *, {DISPLAY_SQL.replace('{0}', 'name')} AS shown FROM ranked),
+r AS (
+  SELECT 'rankings reproduce in order' AS label, count(*) FILTER (WHERE rank IS NULL) AS n_bad FROM ranked
+  UNION ALL SELECT 'every ranked entity has enough routine records',
+    count(*) FILTER (WHERE n < CASE WHEN "table" LIKE '%top' THEN 5 ELSE 3 END) FROM ranked
+  UNION ALL SELECT 'restaurant tables hold restaurants only',
+    count(*) FILTER (WHERE "table" LIKE 'chosen%' AND category <> '{V.RESTAURANT}') FROM ranked
+  UNION ALL SELECT 'no administrative name is ranked', count(*) FILTER (WHERE regexp_matches(name, '(?i)^OOB\\b|INELIGIBLE')) FROM ranked
+  UNION ALL SELECT 'no ranked entity is outside the window', count(*) FILTER (WHERE latest NOT BETWEEN
+    CAST((SELECT max(inspection_date) FROM ins) - INTERVAL 18 MONTH AS DATE) AND (SELECT max(inspection_date) FROM ins)) FROM ranked
+  UNION ALL SELECT 'one slot per operator', count(*) FROM (SELECT 1 FROM ranked GROUP BY "table", venue HAVING count(*) > 1)
+  UNION ALL SELECT 'no two ranked rows read alike', count(*) FROM (
+    SELECT 1 FROM shown GROUP BY "table", shown, street HAVING count(*) > 1)
+  UNION ALL SELECT 'rankings carry no inspector comments',
+    count(*) FILTER (WHERE contains(concat_ws(' ', facility_id, name, category, street, city), 'CFM')) FROM ranked)
+SELECT label, n_bad = 0 AS ok, n_bad FROM r""")
+def gate_rankings(spark, sf_dir):
+    ins = _merged(spark, sf_dir)
+    return Q.run_checks(gate.ranking_checks(materialise(publish.rankings(ins)), ins))
+
+
 # --- streaming ----------------------------------------------------------------------
 
 def _landed(spark: SparkSession, sf_dir: str) -> DataFrame:
     """An answer page per event: one record of its user, or a body that is no page."""
     record = F.to_json(F.array(F.struct(
-        _id("E", "user_id").alias("inspectionID"), F.col("event_type").alias("permitID"),
+        _id("E", "user_id").alias("inspectionID"), F.array("event_type", F.lit("x")).alias("permitID"),
         F.col("event_id").cast("string").alias("inspectionDate"))))
     return W.table(spark, sf_dir, "events").select(
         "event_id", F.date_format("ts", "yyyy-MM-dd").alias("window"), F.lit(0).alias("start"),

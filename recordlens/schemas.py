@@ -48,3 +48,10 @@ FETCH_WINDOWS = _schema(
     "key date, from date, to date, state string, n int, dup int, note string, at string"
 )
 LANDED_PAGE = _schema("window string, start int, body string")
+BRONZE = {
+    "records": T.StructType([
+        T.StructField("window", T.StringType()), T.StructField("scraped_at", T.StringType()), *PORTAL_RECORD.fields,
+        T.StructField("batch_id", T.IntegerType())]),
+    "request_log": T.StructType([*FETCH_LOG.fields, T.StructField("batch_id", T.IntegerType())]),
+    "quarantine": _schema("window string, start int, scraped_at string, body string, note string, batch_id int"),
+}

@@ -11,6 +11,18 @@ def _first_char(body: Column) -> Column:
     return F.substring(F.ltrim(body), 1, 1)
 
 
+def _plain(record: Column, schema: T.StructType) -> Column:
+    """Text fields as plain values: of a nested list the first element counts, of an empty one nothing."""
+    def value(field: T.StructField) -> Column:
+        text = record[field.name]
+        if not isinstance(field.dataType, T.StringType):
+            return text.alias(field.name)
+        nested = text.startswith("[") & F.get_json_object(text, "$").isNotNull()
+        return F.when(nested, F.get_json_object(text, "$[0]")).otherwise(text).alias(field.name)
+
+    return F.when(record.isNotNull(), F.struct(*[value(f) for f in schema.fields]))
+
+
 def classify_pages(
     pages: DataFrame, record: T.StructType = S.PORTAL_RECORD, body: str = "body",
     start: str = "start",
@@ -38,7 +50,7 @@ def classify_pages(
         .otherwise(F.concat(F.lit("nonjson:"), F.trim(text)))
     )
     return pages.withColumns({
-        "records": F.when(is_array, parsed),
+        "records": F.when(is_array, F.transform(parsed, lambda r: _plain(r, record))),
         "outcome": outcome,
         "n": F.when(is_array, F.size(parsed)).otherwise(0),
         "note": F.coalesce(note, F.lit("nonjson:")),

@@ -15,6 +15,7 @@ from .. import schemas as S
 from ..operators.select import newest_version
 from ..sources.pages import classify_pages, page_records, quarantined, request_log
 from ..sources.sinks import utc_stamp
+from ..sources.tables import read_optional
 
 RECORDS, LOG, FAULTS = "records", "request_log", "quarantine"
 
@@ -51,7 +52,8 @@ def ingest_pages(
 
 
 def read_bronze(spark: SparkSession, target: str, name: str = RECORDS) -> DataFrame:
-    return spark.read.parquet(f"{target}/{name}")
+    """All batches of a bronze table with their ``batch_id``; empty before the first one."""
+    return read_optional(spark, f"{target}/{name}", S.BRONZE[name])
 
 
 def current_records(spark: SparkSession, target: str) -> DataFrame:

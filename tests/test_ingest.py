@@ -93,3 +93,20 @@ def test_no_window_when_up_to_date(spark):
 
     bounds = spark.sql("SELECT date'2026-01-05' AS s, date'2026-01-04' AS e")
     assert window_plan(bounds, "s", "e").count() == 0
+
+
+def test_nested_values_give_their_first_element(spark):
+    from recordlens.sources.pages import classify_pages, page_records
+
+    body = '[{"inspectionID": ["a", "b"], "score": [], "city": "[x", "zip": {"k": 1}}]'
+    pages = spark.createDataFrame([("w", 0, body)], "window string, start int, body string")
+    row = page_records(classify_pages(pages)).first()
+    assert (row.inspectionID, row.score, row.city, row.zip) == ("a", None, "[x", '{"k":1}')
+
+
+def test_bronze_is_empty_before_the_first_batch(spark, tmp_path):
+    from recordlens.streaming.ingest import FAULTS, LOG, RECORDS, current_records, read_bronze
+
+    for name in (RECORDS, LOG, FAULTS):
+        assert read_bronze(spark, str(tmp_path / "none"), name).count() == 0
+    assert current_records(spark, str(tmp_path / "none")).count() == 0

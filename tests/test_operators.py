@@ -242,3 +242,12 @@ def test_chained_spread_joins_read_each_input_once(spark, tmp_path):
     for n in range(1, 5):
         out = SP.spread_join(out, spark.read.parquet(f"{tmp_path}/t").withColumn(f"v{n}", F.lit(n)), ["k"], "left")
         assert out._jdf.queryExecution().sparkPlan().toString().count("FileScan") == n + 1
+
+
+def test_score_profile_takes_any_number(spark):
+    from recordlens.operators.ranking import score_profile
+
+    rows = spark.createDataFrame([("a", -5.0, "2024-01-02"), ("a", 7.0, "2024-01-02"), ("a", 9.0, "2024-01-01")],
+                                 "k string, s double, d string").selectExpr("k", "s", "date(d) AS d")
+    row = score_profile(rows, "k", "s", "d").first()
+    assert (row.n, row.min_score, row.max_score, row.latest_score) == (3, -5, 9, -5)
