@@ -8,15 +8,20 @@ from pyspark.sql import functions as F
 from recordlens.llm import jaccard_join, language_id, quality_classifier, sentencepiece_codec, template_decontamination
 from recordlens.llm.common import bounded_broadcast, fold, stage
 
-LEAST_LANGUAGE_SCORE = 0.05  # cosine below which a text is like no language that was learned
+LEAST_LANGUAGE_SCORE = 0.05  # cosine below which a text is like no language, if it is long enough to tell
 LEAST_QUALITY = 0.3
 
 
 def known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Leaves out texts without letters and texts that are like no language."""
+    """Leaves out texts without letters and texts that are like no language.
+
+    A text is like none if its score is below ``LEAST_LANGUAGE_SCORE`` and also below what a text with as many
+    n-grams of a learned language would reach: a short text stays unless its n-grams speak against it.
+    """
     prototypes = language_id.train(docs.filter(fold("doc_id", 4) != 2))
     judged = language_id.predict(docs, prototypes, keep=tuple(docs.columns))
-    known = (F.col("lang_pred") != "und") & (F.col("score") >= LEAST_LANGUAGE_SCORE)
+    known = (F.col("lang_pred") != "und") & (
+        F.col("score") >= F.least(F.lit(LEAST_LANGUAGE_SCORE), F.col("score_bound")))
     return judged.filter(known).select(*docs.columns)
 
 

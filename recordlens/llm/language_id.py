@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -11,10 +12,13 @@ from pyspark.sql import functions as F
 
 from .common import bounded_batches, documents, fold, text_slices
 
-DIMENSION = 512    # components of a hypervector
+DIMENSION = 8192   # components of a hypervector: unrelated ones have cosines of about 1 / sqrt(8192) = 0.011
 CODES = 64         # letter symbols: 0 separates words, others by letter
 NGRAM = 3
 SEED = 20240229
+DEVIATIONS = 3     # standard deviations that a text may lie below what is expected of its n-grams
+DENSE = 0.015      # share of a slice's texts that hold an n-gram, from which on it is bundled for all of them
+BOUND_AT_ONCE = 256  # bound vectors held at a time
 PROTOTYPE_ROWS = "lang string, gram int, n long"
 LETTERS = "abcdefghijklmnopqrstuvwxyz"
 
@@ -36,9 +40,7 @@ class Encoder:
         self.codes = np.full(0x110000, 255, np.uint8)
         rng = np.random.default_rng(SEED)
         self.letters = rng.choice(np.array([-1, 1], np.int8), (CODES, DIMENSION))
-        # Bound vectors of all letter pairs: the older a letter, the further it is rotated, then multiplied.
-        first, second = np.roll(self.letters, 2, 1), np.roll(self.letters, 1, 1)
-        self.pairs = (first[:, None, :] * second[None, :, :]).reshape(-1, DIMENSION)
+        self.older, self.oldest = np.roll(self.letters, 1, 1), np.roll(self.letters, 2, 1)
 
     def grams(self, text: str) -> tuple[np.ndarray, np.ndarray]:
         """Distinct n-grams of the whole text, as numbers, and their counts. Runs of non-letters count once."""
@@ -59,16 +61,46 @@ class Encoder:
             return found, counts[found]
         return np.unique(number, return_counts=True)
 
+    def bound(self, grams: np.ndarray) -> np.ndarray:
+        """Vector of each n-gram: the older a letter, the further it is rotated, then multiplied."""
+        pairs = grams // CODES
+        return (self.oldest[pairs // CODES] * self.older[pairs % CODES] * self.letters[grams % CODES]).astype(np.float32)
+
     def bundle(self, grams: np.ndarray, counts: np.ndarray) -> np.ndarray:
         """Sum of the bound n-gram vectors, each as often as the n-gram occurs."""
         total = np.zeros(DIMENSION, np.float32)
-        for at in range(0, len(grams), 4096):
-            part = grams[at:at + 4096]
-            bound = self.pairs[part // CODES] * self.letters[part % CODES]
-            total += counts[at:at + 4096].astype(np.float32) @ bound.astype(np.float32)
+        for at in range(0, len(grams), BOUND_AT_ONCE):
+            total += counts[at:at + BOUND_AT_ONCE].astype(np.float32) @ self.bound(grams[at:at + BOUND_AT_ONCE])
+        return total
+
+    def bundles(self, profiles: list[tuple[np.ndarray, np.ndarray]]) -> np.ndarray:
+        """One bundle per text; n-grams that many of the texts hold are bound once for all of them."""
+        total = np.zeros((len(profiles), DIMENSION), np.float32)
+        if not profiles:
+            return total
+        held = np.bincount(np.concatenate([g for g, _ in profiles]).astype(np.int64), minlength=CODES ** NGRAM)
+        common = held > max(1, DENSE * len(profiles))
+        place = np.cumsum(common) - 1
+        shared = np.flatnonzero(common)
+        dense = np.zeros((len(profiles), len(shared)), np.float32)
+        for i, (grams, counts) in enumerate(profiles):
+            often = common[grams]
+            dense[i, place[grams[often]]] = counts[often]
+            total[i] = self.bundle(grams[~often], counts[~often])
+        for at in range(0, len(shared), BOUND_AT_ONCE):
+            total += dense[:, at:at + BOUND_AT_ONCE] @ self.bound(shared[at:at + BOUND_AT_ONCE])
         return total
 
 
+class Prototypes(dict):
+    """Unit prototype of each language. ``spread`` has, per language, the mean and the standard deviation of the
+    cosine that a single n-gram drawn from it has with the exact profile."""
+
+    def __init__(self) -> None:
+        super().__init__()
+        self.spread: dict[str, tuple[float, float]] = {}
+
+
 _ENCODER: list[Encoder] = []
 
 
@@ -95,7 +127,7 @@ def _count_profiles(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatc
             names=["lang", "gram", "n"])
 
 
-def train(df: DataFrame, lang: str = "lang", text: str = "text") -> dict[str, np.ndarray]:
+def train(df: DataFrame, lang: str = "lang", text: str = "text") -> Prototypes:
     """Unit prototype of each language, from all rows with a language.
 
     Tasks count n-grams per language and Spark adds the counts up. What reaches the driver has at most
@@ -107,16 +139,23 @@ def train(df: DataFrame, lang: str = "lang", text: str = "text") -> dict[str, np
         .mapInArrow(_count_profiles, PROTOTYPE_ROWS)
         .groupBy("lang", "gram").agg(F.sum("n").alias("n")).toPandas()
     )
-    enc, bundles = encoder(), {}
+    enc, prototypes = encoder(), Prototypes()
     for name, part in sorted(rows.groupby("lang")):
-        total = enc.bundle(part["gram"].to_numpy(), part["n"].to_numpy() / part["n"].sum())
-        bundles[name] = total / max(float(np.linalg.norm(total)), 1e-12)
-    return bundles
+        share = part["n"].to_numpy() / part["n"].sum()
+        total = enc.bundle(part["gram"].to_numpy(), share)
+        prototypes[name] = total / max(float(np.linalg.norm(total)), 1e-12)
+        mean = float(np.linalg.norm(share))
+        prototypes.spread[name] = mean, math.sqrt(max(float((share ** 3).sum()) / mean ** 2 - mean ** 2, 0.0))
+    return prototypes
 
 
 def predict(df: DataFrame, prototypes: dict[str, np.ndarray], text: str = "text",
             keep: tuple[str, ...] = ()) -> DataFrame:
-    """Add ``lang_pred`` and ``score`` (cosine with the best prototype, 0 to 1) to the ``keep`` columns.
+    """Add ``lang_pred``, ``score`` (cosine with the best prototype, 0 to 1) and ``score_bound`` to the ``keep`` columns.
+
+    ``score_bound`` is what nearly every text with the same number of n-grams, drawn from any of the languages,
+    reaches: ``DEVIATIONS`` standard deviations below the expected cosine, those of the draw and of the
+    hypervectors together. It is 0 or less where a text is too short to tell, and without ``Prototypes.spread``.
 
     A text that is NULL or has no letter gets ``und`` and 0, as does any text if nothing was learned. Equal
     cosines go to the language first in order. Whole texts are read, whatever their length.
@@ -124,29 +163,32 @@ def predict(df: DataFrame, prototypes: dict[str, np.ndarray], text: str = "text"
     bounded_batches(df.sparkSession)
     names = sorted(prototypes)
     matrix = np.array([prototypes[n] for n in names], np.float32).reshape(len(names), DIMENSION)
+    spread = getattr(prototypes, "spread", {})
+    means = np.array([spread.get(n, (0.0, 0.0))[0] for n in names])
+    allowed = DEVIATIONS * np.sqrt(np.array([spread.get(n, (0.0, 0.0))[1] for n in names]) ** 2 + 1 / DIMENSION)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         enc = encoder()
         for batch, texts in text_slices(batches, "__text"):
-            langs, scores = [], []
-            for t in texts:
-                grams, counts = enc.grams(t)
-                if not len(grams) or not names:
-                    langs.append("und")
-                    scores.append(0.0)
-                    continue
-                vector = enc.bundle(grams, counts)
+            profiles = [enc.grams(t) for t in texts]
+            langs, scores, bounds = ["und"] * len(texts), [0.0] * len(texts), [0.0] * len(texts)
+            told = [i for i, (grams, _) in enumerate(profiles) if len(grams) and names]
+            vectors = enc.bundles([profiles[i] for i in told])
+            for i, vector in zip(told, vectors):
+                counts = profiles[i][1].astype(np.float64)
                 cosines = matrix @ vector / max(float(np.linalg.norm(vector)), 1e-12)
                 best = int(cosines.argmax())
-                langs.append(names[best])
-                scores.append(float(min(max(cosines[best], 0.0), 1.0)))
+                langs[i] = names[best]
+                scores[i] = float(min(max(cosines[best], 0.0), 1.0))
+                bounds[i] = float((means * (counts.sum() / np.linalg.norm(counts)) - allowed).min())
             yield pa.RecordBatch.from_arrays(
-                [*(batch.column(i) for i in range(batch.num_columns - 1)), pa.array(langs), pa.array(scores)],
-                names=[*batch.schema.names[:-1], "lang_pred", "score"])
+                [*(batch.column(i) for i in range(batch.num_columns - 1)), pa.array(langs), pa.array(scores),
+                 pa.array(bounds)],
+                names=[*batch.schema.names[:-1], "lang_pred", "score", "score_bound"])
 
     kept = df.select(*keep, F.col(text).alias("__text"))
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in kept.schema.fields[:-1])
-    return kept.mapInArrow(run, f"{schema}{', ' if schema else ''}lang_pred string, score double")
+    return kept.mapInArrow(run, f"{schema}{', ' if schema else ''}lang_pred string, score double, score_bound double")
 
 
 def op5_language_id(spark, sf_dir):
