@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .common import documents, stage
 
 WINDOW = 8               # template tokens per window; shorter items are matched as a whole
-LEAST_LITERAL = 4        # windows with fewer ordinary words say nothing
+LEAST_LITERAL = 4        # windows with fewer ordinary words match by their literal tokens only
 LEAST_TOKENS = 13        # matched tokens that make a passage, or the whole of a shorter item
 LEAST_SHARE = 0.5        # ... or this share of the item
 MOST_CONFLICTS = 0.34    # share of slots that may be filled inconsistently
@@ -46,6 +48,23 @@ def template(raw: Column) -> Column:
     return F.transform(raw, kind)
 
 
+def bind(value: Column, use: Callable[[Column], Column]) -> Column:
+    """``use(value)`` with the value worked out once."""
+    return F.element_at(F.transform(F.array(value), use), 1)
+
+
+def word(token: Column) -> Column:
+    return F.lower(F.translate(token, NAME_MARK, ""))
+
+
+def forms(text: Column) -> Column:
+    """A text's tokens as lower-case words, and three hashes per token: of the template, of the template with names
+    at the start of sentences, and of the word without regard to slots, case and white space."""
+    return bind(tokens(text), lambda raw: F.struct(
+        F.transform(raw, word).alias("words"), template(raw).alias("kinds"), template(raw).alias("named"),
+        F.transform(raw, lambda x: F.xxhash64(word(x))).alias("plain")))
+
+
 def windows(kinds: Column, width: int) -> Column:
     """Array of the hashes of all windows; empty for a text with fewer tokens."""
     count = F.size(kinds) - (width - 1)
@@ -58,28 +77,37 @@ def literal(kinds: Column) -> Column:
     return F.size(F.filter(kinds, lambda k: ~k.between(1, 3)))
 
 
+def window_hashes(form: str, width: int) -> Column:
+    """Per window of a text, its template, named and plain hash."""
+    return F.arrays_zip(*[windows(F.col(f"{form}.{k}"), width).alias(k) for k in ("kinds", "named", "plain")])
+
+
 def benchmark_windows(items: DataFrame) -> DataFrame:
-    """item_id, width, item_pos, hash, n_tokens and raw, kinds per window of each item."""
-    prepared = items.select("item_id", tokens(F.coalesce("text", F.lit(""))).alias("raw")).withColumn(
-        "kinds", template(F.col("raw"))).withColumn("n_tokens", F.size("raw")).filter("n_tokens > 0")
-    widths = [prepared.filter(F.col("n_tokens") >= WINDOW).withColumn("width", F.lit(WINDOW))]
-    widths += [prepared.filter(F.col("n_tokens") == w).withColumn("width", F.lit(w)) for w in range(1, WINDOW)]
-    parts = [
-        part.select("item_id", "width", "n_tokens", "raw", "kinds",
-                    F.posexplode(windows(F.col("kinds"), WINDOW - i)).alias("item_pos", "hash"))
-        for i, part in enumerate([widths[0], *reversed(widths[1:])])]
-    whole = parts[0]
-    for part in parts[1:]:
-        whole = whole.unionByName(part)
-    told = literal(F.slice("kinds", F.col("item_pos") + 1, F.col("width")))
-    return whole.filter(told >= F.least(F.lit(LEAST_LITERAL), F.col("width") - 1))
+    """item_id, width, item_pos, hash, n_tokens and form per window of each item. Each window has its plain hash;
+    those of the templates are left out where they hold too few ordinary words, or none."""
+    prepared = stage(items.select("item_id", forms(F.coalesce("text", F.lit(""))).alias("form")).withColumn(
+        "n_tokens", F.size("form.words")).filter("n_tokens > 0"), "items")
+    whole = None
+    for width in range(1, WINDOW + 1):
+        part = prepared.filter(F.col("n_tokens") >= width if width == WINDOW else F.col("n_tokens") == width).select(
+            "item_id", F.lit(width).alias("width"), "n_tokens", "form",
+            F.posexplode(window_hashes("form", width)).alias("item_pos", "h"))
+        whole = part if whole is None else whole.unionByName(part)
+    least = F.greatest(F.lit(1), F.least(F.lit(LEAST_LITERAL), F.col("width") - 1))
+
+    def told(k: str) -> Column:
+        return F.when(literal(F.slice(f"form.{k}", F.col("item_pos") + 1, F.col("width"))) >= least, F.col(f"h.{k}"))
+
+    hashes = F.array_distinct(F.array_compact(F.array(told("kinds"), told("named"), F.col("h.plain"))))
+    return whole.select("item_id", "width", "n_tokens", "form", "item_pos", F.explode(hashes).alias("hash"))
 
 
 def contaminated(docs: DataFrame, items: DataFrame) -> DataFrame:
     """One row per document and item it holds: doc_id, item_id, matched_tokens, item_tokens, n_slots, n_conflicts,
     reparameterised.
 
-    Template windows of all documents are joined by hash with those of the items. Matches are put together
+    Windows of all documents are joined by hash with those of the items: as templates, as templates with names
+    at the start of sentences, and as plain words, whatever their case and white space. Matches are put together
     per alignment (document place minus item place), and the longest alignment of each item counts. A slot
     conflicts if the same filler of the item meets different fillers there; too many conflicts clear the
     match. ``reparameterised``: some token differs from the item's.
@@ -96,8 +124,9 @@ def contaminated(docs: DataFrame, items: DataFrame) -> DataFrame:
         "row", F.xxhash64("doc_id", "text"))
     found = None
     for width in [WINDOW, *sorted(short)]:
-        kinds = keyed.select("row", template(tokens(F.col("text"))).alias("kinds"))
-        exploded = kinds.select("row", F.posexplode(windows(F.col("kinds"), width)).alias("pos", "hash"))
+        exploded = keyed.select("row", forms(F.col("text")).alias("form")).select(
+            "row", F.posexplode(window_hashes("form", width)).alias("pos", "h")).select(
+            "row", "pos", F.explode(F.array_distinct(F.array("h.kinds", "h.named", "h.plain"))).alias("hash"))
         wanted = items.filter(F.col("width") == width).select("hash", "item_id", "item_pos", "n_tokens")
         if n_windows <= BROADCAST_WINDOWS:
             wanted = F.broadcast(wanted)
@@ -115,26 +144,34 @@ def contaminated(docs: DataFrame, items: DataFrame) -> DataFrame:
         rows = F.broadcast(rows)
     # Staged, so that the lambdas below read arrays instead of working them out per element.
     texts = stage(keyed.join(rows, "row", "left_semi").dropDuplicates(["row"]).select(
-        "row", "doc_id", tokens(F.col("text")).alias("doc_raw")).withColumn("doc_kinds", template(F.col("doc_raw"))),
-        "matched-texts")
-    fillers = items.select("item_id", "raw", "kinds").distinct()
+        "row", "doc_id", forms(F.col("text")).alias("doc_form")), "matched-texts")
+    fillers = items.select("item_id", "form").distinct()
     checked = aligned.join(texts, "row").join(fillers, "item_id")
     low, high = F.col("low"), F.col("high")
-    pair = F.transform(F.sequence(low + 1, high), lambda i: F.struct(
-        F.element_at("kinds", i).alias("kind"), F.try_element_at("doc_kinds", i + F.col("shift")).alias("doc_kind"),
-        F.element_at("raw", i).alias("item"), F.try_element_at("doc_raw", i + F.col("shift")).alias("doc")))
-    pairs = checked.withColumn("pairs", pair)
+
+    def at(i: Column) -> Column:
+        return F.struct(*[c for k in ("words", "kinds", "named") for c in (
+            F.element_at(f"form.{k}", i).alias(k), F.try_element_at(f"doc_form.{k}", i + F.col("shift")).alias(f"doc_{k}"))])
+
+    def same(p: Column, *forms: str) -> Column:
+        alike = [p[k].eqNullSafe(p[f"doc_{k}"]) for k in forms]
+        return alike[0] if len(alike) == 1 else alike[0] | same(p, *forms[1:])
+
+    def slot(p: Column, k: str) -> Column:
+        return p[k].between(1, 3) & same(p, k)
+
+    pairs = checked.withColumn("pairs", F.transform(F.sequence(low + 1, high), at))
     slots = F.array_distinct(F.transform(
-        F.filter("pairs", lambda p: p["kind"].between(1, 3) & p["kind"].eqNullSafe(p["doc_kind"])),
-        lambda p: F.struct(p["item"].alias("item"), p["doc"].alias("doc"))))
+        F.filter("pairs", lambda p: slot(p, "kinds") | slot(p, "named")),
+        lambda p: F.struct(p["words"].alias("item"), p["doc_words"].alias("doc"))))
     slotted = pairs.withColumn("slots", slots)
     n_fillers = F.size(F.array_distinct(F.transform("slots", lambda s: s["item"])))
     judged = slotted.select(
         "doc_id", "item_id", F.col("n_tokens").alias("item_tokens"),
         (high - low).alias("span"),
-        F.size(F.filter("pairs", lambda p: p["kind"].eqNullSafe(p["doc_kind"]))).alias("matched_tokens"),
+        F.size(F.filter("pairs", lambda p: same(p, "words", "kinds", "named"))).alias("matched_tokens"),
         n_fillers.alias("n_slots"), (F.size("slots") - n_fillers).alias("n_conflicts"),
-        F.exists("pairs", lambda p: ~F.lower(p["item"]).eqNullSafe(F.lower(p["doc"]))).alias("reparameterised"))
+        F.exists("pairs", lambda p: ~same(p, "words")).alias("reparameterised"))
     kept = judged.filter(F.col("n_conflicts") <= F.col("n_slots") * MOST_CONFLICTS)
     best = F.max_by(F.struct("matched_tokens", "item_tokens", "n_slots", "n_conflicts", "reparameterised"),
                     F.struct("matched_tokens", -F.col("n_conflicts")))

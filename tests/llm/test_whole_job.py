@@ -8,7 +8,7 @@ import pytest
 pytest.importorskip("sentencepiece")
 import corpus_pipeline  # noqa: E402
 
-from recordlens.llm import language_id  # noqa: E402
+from recordlens.llm import language_id, template_decontamination  # noqa: E402
 
 SF = "/root/testdata/sf0.001"
 
@@ -31,3 +31,16 @@ def test_language_bundles_equal_single_ones():
     profiles = [enc.grams(t) for t in ["the cat", "the dog and the cat", "der hund", "x" * 50, "once only"] * 3 + ["rare öäü"]]
     assert (enc.bundles(profiles) == np.array([enc.bundle(*p) for p in profiles])).all()
     assert enc.bundles([]).shape == (0, language_id.DIMENSION)
+
+
+def found(spark, items, texts):
+    items = spark.createDataFrame(list(enumerate(items)), "item_id long, text string")
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    return {(r.doc_id, r.item_id) for r in template_decontamination.contaminated(docs, items).collect()}
+
+
+def test_items_of_numbers_match_by_their_literal_tokens(spark):
+    items = ["Compute 12 + 7 * 3 - 4 / 2", "What is 12 + 7 + 33 + 41 + 5 + 8 + 9 + 10 + 4 + 77 + 6 + 15?", "42"]
+    texts = [*items[:2], "It was 42 then.", "There are 17 of them.", "Compute 1 + 2 * 3 - 5 / 6",
+             "What is 1 + 2 + 3 + 4 + 55 + 66 + 77 + 88 + 99 + 11 + 22 + 13?"]
+    assert found(spark, items, texts) == {(0, 0), (1, 1), (2, 2)}
