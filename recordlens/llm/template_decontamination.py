@@ -23,6 +23,7 @@ UNITS = ("mm cm m km in ft yd mi mg g kg t lb lbs oz ml l s sec min h hr hrs day
          "dollars euro euros cent cents usd eur gbp degree degrees mph kmh hz khz mhz ghz kb mb gb tb w kw v a").split()
 
 
+BLANKS = r"[\s\p{Z}]{2,}|[\s\p{Z}&&[^ ]]"  # all white space that is not a single space
 MARKED = (r"(?<=[\p{L}\p{N},;:] )(?=\p{Lu}\p{Ll})|(?<=\p{N} ?)(?=(?i:" + "|".join(sorted(UNITS, key=len, reverse=True))
           + r")(?![\p{L}\p{N}]))")
 
@@ -30,7 +31,7 @@ MARKED = (r"(?<=[\p{L}\p{N},;:] )(?=\p{Lu}\p{Ll})|(?<=\p{N} ?)(?=(?i:" + "|".joi
 def tokens(text: Column) -> Column:
     """Words and numbers of a text in order. A word with a capital inside a sentence and a unit behind a number
     bear a mark in front."""
-    marked = F.regexp_replace(text, MARKED, NAME_MARK)
+    marked = F.regexp_replace(F.regexp_replace(text, BLANKS, " "), MARKED, NAME_MARK)
     return F.regexp_extract_all(marked, F.lit(r"\u0001?\p{L}+|\p{N}+(?:[.,]\p{N}+)*"), F.lit(0))
 
 
@@ -57,11 +58,19 @@ def word(token: Column) -> Column:
     return F.lower(F.translate(token, NAME_MARK, ""))
 
 
+def named(raw: Column) -> Column:
+    """The tokens, with marks also on words that open a sentence and bear one elsewhere in the text."""
+    marked = F.filter(raw, lambda x: x.rlike(r"^\u0001\p{Lu}\p{Ll}"))
+    return bind(F.array_distinct(marked), lambda names: F.transform(raw, lambda x: F.when(
+        x.rlike(r"^\p{Lu}\p{Ll}") & F.array_contains(names, F.concat(F.lit(NAME_MARK), x)),
+        F.concat(F.lit(NAME_MARK), x)).otherwise(x)))
+
+
 def forms(text: Column) -> Column:
     """A text's tokens as lower-case words, and three hashes per token: of the template, of the template with names
     at the start of sentences, and of the word without regard to slots, case and white space."""
     return bind(tokens(text), lambda raw: F.struct(
-        F.transform(raw, word).alias("words"), template(raw).alias("kinds"), template(raw).alias("named"),
+        F.transform(raw, word).alias("words"), template(raw).alias("kinds"), template(named(raw)).alias("named"),
         F.transform(raw, lambda x: F.xxhash64(word(x))).alias("plain")))
 
 

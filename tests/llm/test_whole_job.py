@@ -44,3 +44,17 @@ def test_items_of_numbers_match_by_their_literal_tokens(spark):
     texts = [*items[:2], "It was 42 then.", "There are 17 of them.", "Compute 1 + 2 * 3 - 5 / 6",
              "What is 1 + 2 + 3 + 4 + 55 + 66 + 77 + 88 + 99 + 11 + 22 + 13?"]
     assert found(spark, items, texts) == {(0, 0), (1, 1), (2, 2)}
+
+
+def test_case_and_line_breaks_do_not_hide_a_passage(spark):
+    item = ("Natalia sold clips to 48 of her friends in April, and then Natalia sold half as many clips in May. "
+            "How many clips did Natalia sell altogether in April and May?")
+    wrapped = item[0] + item[1:].replace(" Natalia", "\nNatalia").replace(" April", " \n\tApril").replace(" May", "\u00a0May")
+    texts = [item, item.lower(), item.upper(), wrapped, "Something else that was sold to friends in April and in May."]
+    assert found(spark, [item], texts) == {(0, 0), (1, 0), (2, 0), (3, 0)}
+
+
+def test_names_at_the_start_of_a_sentence_are_slots(spark):
+    item = "Natalia met Tom and Natalia left. Tom ran to Natalia and back. Natalia saw Tom run. Tom saw it too."
+    changed = item.replace("Natalia", "Maria").replace("Tom", "Leo")
+    assert found(spark, [item], [item, changed]) == {(0, 0), (1, 0)}
