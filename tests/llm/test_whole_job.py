@@ -8,7 +8,7 @@ import pytest
 pytest.importorskip("sentencepiece")
 import corpus_pipeline  # noqa: E402
 
-from recordlens.llm import language_id, template_decontamination  # noqa: E402
+from recordlens.llm import embedding_dedup, language_id, template_decontamination  # noqa: E402
 
 SF = "/root/testdata/sf0.001"
 
@@ -58,3 +58,32 @@ def test_names_at_the_start_of_a_sentence_are_slots(spark):
     item = "Natalia met Tom and Natalia left. Tom ran to Natalia and back. Natalia saw Tom run. Tom saw it too."
     changed = item.replace("Natalia", "Maria").replace("Tom", "Leo")
     assert found(spark, [item], [item, changed]) == {(0, 0), (1, 0)}
+
+
+def audited_graph(monkeypatch):
+    """A dense group of 400 nodes and 200 lone pairs, and a search that loses the lone ones at the first beam."""
+    rng = np.random.default_rng(1)
+    lone = rng.normal(size=(200, 64))
+    hot = rng.normal(size=64) + rng.normal(scale=0.01, size=(400, 64))
+    graph = embedding_dedup.Graph(np.concatenate([hot, lone]))
+    search = graph._within
+
+    def within(q, least, beam):
+        return [f[f < 400] if beam == embedding_dedup.BEAM else f for f in search(q, least, beam)]
+
+    monkeypatch.setattr(graph, "_within", within)
+    return graph
+
+
+def test_a_dense_group_does_not_outvote_lone_pairs(monkeypatch):
+    graph = audited_graph(monkeypatch)
+    q = np.concatenate([graph.exact[:200], graph.exact[400:]])
+    assert all(len(f) for f in graph.search(q, 0.9))
+
+
+def test_a_block_whose_audited_queries_have_no_link_is_answered_in_full(monkeypatch):
+    graph = audited_graph(monkeypatch)
+    q = np.random.default_rng(2).normal(size=(64, 64))
+    q /= np.linalg.norm(q, axis=1, keepdims=True)
+    q[1] = graph.exact[450]
+    assert graph.search(q, 0.9)[1].tolist() == [450]
