@@ -23,30 +23,16 @@ UNITS = ("mm cm m km in ft yd mi mg g kg t lb lbs oz ml l s sec min h hr hrs day
          "dollars euro euros cent cents usd eur gbp degree degrees mph kmh hz khz mhz ghz kb mb gb tb w kw v a").split()
 
 
-BLANKS = r"[\s\p{Z}]{2,}|[\s\p{Z}&&[^ ]]"  # all white space that is not a single space
-MARKED = (r"(?<=[\p{L}\p{N},;:] )(?=\p{Lu}\p{Ll})|(?<=\p{N} ?)(?=(?i:" + "|".join(sorted(UNITS, key=len, reverse=True))
-          + r")(?![\p{L}\p{N}]))")
+NAMES = r"([\p{L}\p{N},;:])[\s\p{Z}]+(?=\p{Lu}\p{Ll})"  # what a name inside a sentence stands behind
+MEASURES = (r"(\p{N})[\s\p{Z}]*(?=(?i:" + "|".join(sorted(UNITS, key=len, reverse=True)) + r")(?![\p{L}\p{N}]))")
+TOKEN = r"\u0001?\p{L}+|\p{N}+(?:[.,]\p{N}+)*"
 
 
 def tokens(text: Column) -> Column:
     """Words and numbers of a text in order. A word with a capital inside a sentence and a unit behind a number
     bear a mark in front."""
-    marked = F.regexp_replace(F.regexp_replace(text, BLANKS, " "), MARKED, NAME_MARK)
-    return F.regexp_extract_all(marked, F.lit(r"\u0001?\p{L}+|\p{N}+(?:[.,]\p{N}+)*"), F.lit(0))
-
-
-def template(raw: Column) -> Column:
-    """Hash per token of its lower-case word, or a small number for a slot: 1 number, 2 name, 3 unit."""
-    units = F.array(*[F.lit(u) for u in UNITS])
-
-    def kind(x: Column) -> Column:
-        first = F.substring(x, 1, 1)
-        number = first.between("0", "9") | ((first > "z") & x.rlike(r"^\p{N}"))
-        slot = F.when(F.array_contains(units, F.lower(F.substring(x, 2, 1000))), F.lit(3)).otherwise(F.lit(2))
-        return F.when(first == NAME_MARK, slot.cast("long")).when(number, F.lit(1).cast("long")).otherwise(
-            F.xxhash64(F.lower(x)))
-
-    return F.transform(raw, kind)
+    marked = F.regexp_replace(F.regexp_replace(text, NAMES, f"$1 {NAME_MARK}"), MEASURES, f"$1 {NAME_MARK}")
+    return F.regexp_extract_all(marked, F.lit(TOKEN), F.lit(0))
 
 
 def bind(value: Column, use: Callable[[Column], Column]) -> Column:
@@ -54,61 +40,122 @@ def bind(value: Column, use: Callable[[Column], Column]) -> Column:
     return F.element_at(F.transform(F.array(value), use), 1)
 
 
+def is_marked(token: Column) -> Column:
+    return F.startswith(token, F.lit(NAME_MARK))
+
+
 def word(token: Column) -> Column:
-    return F.lower(F.translate(token, NAME_MARK, ""))
+    return F.lower(F.when(is_marked(token), F.substring(token, 2, 1_000_000_000)).otherwise(token))
+
+
+def plain(raw: Column) -> Column:
+    """Hash per token of its lower-case word, whatever its slot, case and white space."""
+    return F.transform(raw, lambda x: F.xxhash64(word(x)))
+
+
+def template(raw: Column, hashes: Column) -> Column:
+    """The hash per token, or a small number for a slot: 1 number, 2 name, 3 unit."""
+    first = lambda x: F.substring(x, 1, 1)
+    number = lambda x: first(x).between("0", "9") | ((first(x) > "z") & x.rlike(r"^\p{N}"))
+    return F.zip_with(raw, hashes, lambda x, h: F.when(
+        is_marked(x), F.when(word(x).isin(*UNITS), F.lit(3)).otherwise(F.lit(2)).cast("long")).when(
+        number(x), F.lit(1).cast("long")).otherwise(h))
+
+
+def named(raw: Column, kinds: Column) -> Column:
+    """``kinds`` with slots also for words that open a sentence and are marked as names elsewhere in the text.
+
+    A text without such words keeps its array as it is; else only words with a capital are looked up, among the
+    names that do open a sentence somewhere.
+    """
+    capital = r"^\p{Lu}\p{Ll}"
+    names = F.transform(F.filter(raw, lambda x: is_marked(x) & F.rlike(x, F.lit(r"^.\p{Lu}\p{Ll}"))),
+                        lambda x: F.substring(x, 2, 1_000_000_000))
+
+    def replaced(both: Column) -> Column:
+        return F.when(F.size(both) == 0, kinds).otherwise(F.zip_with(raw, kinds, lambda x, k: F.when(
+            x.rlike(capital) & F.array_contains(both, x),
+            F.when(word(x).isin(*UNITS), F.lit(3)).otherwise(F.lit(2)).cast("long")).otherwise(k)))
 
+    def looked_up(found: Column) -> Column:
+        return F.when(F.size(found) == 0, kinds).otherwise(
+            bind(F.array_intersect(found, F.filter(raw, lambda x: x.rlike(capital))), replaced))
 
-def named(raw: Column) -> Column:
-    """The tokens, with marks also on words that open a sentence and bear one elsewhere in the text."""
-    marked = F.filter(raw, lambda x: x.rlike(r"^\u0001\p{Lu}\p{Ll}"))
-    return bind(F.array_distinct(marked), lambda names: F.transform(raw, lambda x: F.when(
-        x.rlike(r"^\p{Lu}\p{Ll}") & F.array_contains(names, F.concat(F.lit(NAME_MARK), x)),
-        F.concat(F.lit(NAME_MARK), x)).otherwise(x)))
+    return bind(names, looked_up)
 
 
 def forms(text: Column) -> Column:
-    """A text's tokens as lower-case words, and three hashes per token: of the template, of the template with names
-    at the start of sentences, and of the word without regard to slots, case and white space."""
-    return bind(tokens(text), lambda raw: F.struct(
-        F.transform(raw, word).alias("words"), template(raw).alias("kinds"), template(named(raw)).alias("named"),
-        F.transform(raw, lambda x: F.xxhash64(word(x))).alias("plain")))
+    """A text's tokens and three numbers per token: in the template, in the template with names at the start of
+    sentences, and the hash of the word without regard to slots, case and white space."""
+    def with_template(raw: Column, hashes: Column) -> Column:
+        return bind(template(raw, hashes), lambda kinds: F.struct(
+            raw.alias("raw"), kinds.alias("kinds"), named(raw, kinds).alias("named"), hashes.alias("plain")))
 
+    return bind(tokens(text), lambda raw: bind(plain(raw), lambda hashes: with_template(raw, hashes)))
 
-def windows(kinds: Column, width: int) -> Column:
-    """Array of the hashes of all windows; empty for a text with fewer tokens."""
-    count = F.size(kinds) - (width - 1)
-    return F.when(count > 0, F.transform(
-        F.sequence(F.lit(1), F.greatest(count, F.lit(1))), lambda i: F.xxhash64(F.slice(kinds, i, width)))
-    ).otherwise(F.array().cast("array<bigint>"))
 
+def with_words(form: Column) -> Column:
+    return bind(form, lambda f: F.struct(F.transform(f["raw"], word).alias("words"), f["kinds"].alias("kinds"),
+                                         f["named"].alias("named"), f["plain"].alias("plain")))
+
+
+def slotted(kinds: Column, width: int) -> Column:
+    """Places (from 0) of the windows that hold a slot."""
+    last = F.size(kinds) - width
+    around = F.transform(kinds, lambda k, i: F.when(k.between(1, 3), F.sequence(
+        F.greatest(i - (width - 1), F.lit(0)), F.least(i, F.greatest(last, F.lit(0))))))
+    return F.when((last >= 0) & F.exists(kinds, lambda k: k.between(1, 3)),
+                  F.array_distinct(F.flatten(F.array_compact(around)))).otherwise(F.array().cast("array<int>"))
 
-def literal(kinds: Column) -> Column:
-    return F.size(F.filter(kinds, lambda k: ~k.between(1, 3)))
+
+def differing(kinds: Column, other: Column, width: int) -> Column:
+    """Places of the windows in which the two arrays differ."""
+    marks = lambda: F.zip_with(kinds, other, lambda a, b: F.when(a != b, F.lit(1).cast("long")))
+    return F.when(kinds == other, F.array().cast("array<int>")).otherwise(slotted(marks(), width))
 
 
 def window_hashes(form: str, width: int) -> Column:
-    """Per window of a text, its template, named and plain hash."""
-    return F.arrays_zip(*[windows(F.col(f"{form}.{k}"), width).alias(k) for k in ("kinds", "named", "plain")])
+    """(pos, hash) of a text's windows as plain words, of those with a slot as templates, and of those that names at
+    the start of sentences change; empty for a text with fewer tokens.
+
+    A window without a slot is its own template, so it is hashed once.
+    """
+    def hashed(kinds: str, places: Column) -> Column:
+        return F.transform(places, lambda i: F.struct(
+            i.alias("pos"), F.xxhash64(F.slice(f"{form}.{kinds}", i + 1, width)).alias("hash")))
+
+    last = F.size(f"{form}.plain") - width
+    every = F.when(last >= 0, F.sequence(F.lit(0), F.greatest(last, F.lit(0)))).otherwise(F.array().cast("array<int>"))
+    kinds, name_kinds = F.col(f"{form}.kinds"), F.col(f"{form}.named")
+    return F.concat(hashed("plain", every), hashed("kinds", slotted(kinds, width)),
+                    hashed("named", differing(kinds, name_kinds, width)))
+
+
+def literal(kinds: Column) -> Column:
+    return F.size(F.filter(kinds, lambda k: ~k.between(1, 3)))
 
 
 def benchmark_windows(items: DataFrame) -> DataFrame:
     """item_id, width, item_pos, hash, n_tokens and form per window of each item. Each window has its plain hash;
     those of the templates are left out where they hold too few ordinary words, or none."""
-    prepared = stage(items.select("item_id", forms(F.coalesce("text", F.lit(""))).alias("form")).withColumn(
-        "n_tokens", F.size("form.words")).filter("n_tokens > 0"), "items")
+    prepared = stage(items.select("item_id", with_words(forms(F.coalesce("text", F.lit("")))).alias("form")).withColumn(
+        "n_tokens", F.size("form.plain")).filter("n_tokens > 0"), "items")
     whole = None
     for width in range(1, WINDOW + 1):
-        part = prepared.filter(F.col("n_tokens") >= width if width == WINDOW else F.col("n_tokens") == width).select(
-            "item_id", F.lit(width).alias("width"), "n_tokens", "form",
-            F.posexplode(window_hashes("form", width)).alias("item_pos", "h"))
-        whole = part if whole is None else whole.unionByName(part)
-    least = F.greatest(F.lit(1), F.least(F.lit(LEAST_LITERAL), F.col("width") - 1))
+        part = prepared.filter(F.col("n_tokens") >= width if width == WINDOW else F.col("n_tokens") == width)
+        least = max(1, min(LEAST_LITERAL, width - 1))
 
-    def told(k: str) -> Column:
-        return F.when(literal(F.slice(f"form.{k}", F.col("item_pos") + 1, F.col("width"))) >= least, F.col(f"h.{k}"))
+        def hashes(k: str, width: int = width) -> Column:
+            every = F.sequence(F.lit(0), F.greatest(F.col("n_tokens") - width, F.lit(0)))
+            return F.transform(every, lambda i: F.struct(
+                i.alias("pos"), F.xxhash64(F.slice(f"form.{k}", i + 1, width)).alias("hash"),
+                literal(F.slice(f"form.{k}", i + 1, width)).alias("literal")))
 
-    hashes = F.array_distinct(F.array_compact(F.array(told("kinds"), told("named"), F.col("h.plain"))))
-    return whole.select("item_id", "width", "n_tokens", "form", "item_pos", F.explode(hashes).alias("hash"))
+        told = F.concat(hashes("plain"), *[F.filter(hashes(k), lambda h: h["literal"] >= least) for k in ("kinds", "named")])
+        part = part.select("item_id", F.lit(width).alias("width"), "n_tokens", "form", F.explode(told).alias("h"))
+        whole = part if whole is None else whole.unionByName(part)
+    return whole.select("item_id", "width", "n_tokens", "form", F.col("h.pos").alias("item_pos"),
+                        F.col("h.hash").alias("hash")).dropDuplicates(["item_id", "width", "item_pos", "hash"])
 
 
 def contaminated(docs: DataFrame, items: DataFrame) -> DataFrame:
@@ -127,23 +174,21 @@ def contaminated(docs: DataFrame, items: DataFrame) -> DataFrame:
     spark = docs.sparkSession
     items = stage(benchmark_windows(items), "benchmark-windows")
     n_windows = items.count()
-    short = [r.width for r in items.filter(F.col("width") < WINDOW).select("width").distinct().collect()]  # at most 7
+    short = sorted(r.width for r in items.filter(F.col("width") < WINDOW).select("width").distinct().collect())  # at most 7
     # A row is known by a hash of its id and text, which also tells repeated ids apart.
     keyed = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text")).withColumn(
         "row", F.xxhash64("doc_id", "text"))
-    found = None
-    for width in [WINDOW, *sorted(short)]:
-        exploded = keyed.select("row", forms(F.col("text")).alias("form")).select(
-            "row", F.posexplode(window_hashes("form", width)).alias("pos", "h")).select(
-            "row", "pos", F.explode(F.array_distinct(F.array("h.kinds", "h.named", "h.plain"))).alias("hash"))
-        wanted = items.filter(F.col("width") == width).select("hash", "item_id", "item_pos", "n_tokens")
-        if n_windows <= BROADCAST_WINDOWS:
-            wanted = F.broadcast(wanted)
-        part = exploded.join(wanted, "hash").groupBy(
-            "row", "item_id", (F.col("pos") - F.col("item_pos")).alias("shift"), "n_tokens"
-        ).agg(F.count_distinct("item_pos").alias("n_windows"), F.min("item_pos").alias("low"),
-              (F.max("item_pos") + width).alias("high"))
-        found = part if found is None else found.unionByName(part)
+    # One pass over the texts for all widths; windows of different widths differ in their hashes.
+    form = keyed.select("row", forms(F.col("text")).alias("form"))
+    exploded = form.select("row", F.explode(F.concat(*[window_hashes("form", w) for w in (*short, WINDOW)])).alias("h")).select(
+        "row", "h.pos", "h.hash")
+    wanted = items.select("hash", "width", "item_id", "item_pos", "n_tokens")
+    if n_windows <= BROADCAST_WINDOWS:
+        wanted = F.broadcast(wanted)
+    found = exploded.join(wanted, "hash").groupBy(
+        "row", "item_id", (F.col("pos") - F.col("item_pos")).alias("shift"), "n_tokens"
+    ).agg(F.count_distinct("item_pos").alias("n_windows"), F.min("item_pos").alias("low"),
+          F.max(F.col("item_pos") + F.col("width")).alias("high"))
     # Windows of one alignment may leave gaps (an exchanged word); what counts is what they cover at least.
     enough = (F.col("n_windows") + F.lit(WINDOW - 1) >= F.least(F.lit(LEAST_TOKENS), F.col("n_tokens"))) | (
         F.col("n_windows") + F.lit(WINDOW - 1) >= F.col("n_tokens") * LEAST_SHARE)
@@ -153,7 +198,7 @@ def contaminated(docs: DataFrame, items: DataFrame) -> DataFrame:
         rows = F.broadcast(rows)
     # Staged, so that the lambdas below read arrays instead of working them out per element.
     texts = stage(keyed.join(rows, "row", "left_semi").dropDuplicates(["row"]).select(
-        "row", "doc_id", forms(F.col("text")).alias("doc_form")), "matched-texts")
+        "row", "doc_id", with_words(forms(F.col("text"))).alias("doc_form")), "matched-texts")
     fillers = items.select("item_id", "form").distinct()
     checked = aligned.join(texts, "row").join(fillers, "item_id")
     low, high = F.col("low"), F.col("high")
