@@ -68,8 +68,11 @@ def audited_graph(monkeypatch):
     graph = embedding_dedup.Graph(np.concatenate([hot, lone]))
     search = graph._within
 
-    def within(q, least, beam):
-        return [f[f < 400] if beam == embedding_dedup.BEAM else f for f in search(q, least, beam)]
+    def within(q, least, beam, skip):
+        found, nearest = search(q, least, beam, skip)
+        if beam > embedding_dedup.BEAM:
+            return found, nearest
+        return [f[f < 400] for f in found], np.where(nearest < 400, nearest, -1)
 
     monkeypatch.setattr(graph, "_within", within)
     return graph
@@ -81,9 +84,39 @@ def test_a_dense_group_does_not_outvote_lone_pairs(monkeypatch):
     assert all(len(f) for f in graph.search(q, 0.9))
 
 
-def test_a_block_whose_audited_queries_have_no_link_is_answered_in_full(monkeypatch):
+def test_audited_queries_without_links_still_tell(monkeypatch):
     graph = audited_graph(monkeypatch)
     q = np.random.default_rng(2).normal(size=(64, 64))
     q /= np.linalg.norm(q, axis=1, keepdims=True)
     q[1] = graph.exact[450]
     assert graph.search(q, 0.9)[1].tolist() == [450]
+    assert graph.beam > embedding_dedup.BEAM and graph.brute_blocks == 0
+
+
+@pytest.mark.parametrize("kind", ["sparse", "paired", "hot"])
+def test_graphs_answer_and_miss_few_links(kind):
+    rng = np.random.default_rng(6)
+    x = rng.normal(size=(3000, 48))
+    if kind == "paired":
+        x[1500:] = x[:1500] + rng.normal(scale=0.12, size=(1500, 48))
+    if kind == "hot":
+        x[:1000] = x[0] + rng.normal(scale=0.1, size=(1000, 48))
+    rng.shuffle(x)
+    graph = embedding_dedup.Graph(x[:2500])
+    unit = x / np.linalg.norm(x, axis=1, keepdims=True)
+    found = [f for at in range(0, 3000, 512) for f in graph.search(unit[at:at + 512], 0.9)]
+    truth = unit @ graph.exact.T >= 0.9
+    assert graph.brute_blocks == 0 and graph.beam < 2500
+    assert sum(len(f) for f in found) >= 0.99 * truth.sum()
+    assert all(set(f.tolist()) <= set(np.flatnonzero(t).tolist()) for f, t in zip(found, truth))
+    small = embedding_dedup.Graph(x[:100])
+    small.search(small.exact, 0.9)
+    assert small.brute_blocks == 1
+
+
+def test_pairs_count_at_both_ends_and_dense_counts_stand(spark):
+    rows = [(0, "pair", 1, 2, 1, 5), (0, "pair", 2, 1, 5, 1), (0, "pair", 1, 3, 1, 2), (0, "many", 4, None, None, 70),
+            (0, "pair", 5, 4, 3, 9), (0, "edge", 4, 6, None, None)]
+    found = spark.createDataFrame(rows, embedding_dedup.FOUND)
+    got = {r.rep: r.links for r in embedding_dedup.link_counts(found, 1).collect()}
+    assert got == {1: 7, 2: 1, 3: 1, 4: 70, 5: 9}
