@@ -7,20 +7,23 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from .common import bind
+
 #: Per role: text before, text after, whether the text itself is trained on. Controls begin with < or [.
 TEMPLATE = {
     "system": ("<<SYS>>\n", "\n<</SYS>>\n\n", False),
     "user": ("<s>[INST] ", " [/INST]", False),
     "assistant": (" ", " </s>", True),
 }
-OTHER = ("<turn ", "</turn>", False)  # any other role: its escaped name and > follow the first text
+#: Any other role: text before its escaped name, text behind the name, text after; never trained on.
+OTHER = ("<turn ", "<is>", "</turn>")
 #: The machine: which roles may follow which state; the state after a turn is its role.
 MOVES = {"start": {"system", "user"}, "system": {"user"}, "user": {"assistant"}, "assistant": {"user"}}
 FINAL = {"assistant"}
 
 
 def escape(text: Column) -> Column:
-    """Put a backslash behind every <, [ and backslash, so that no control can occur in a text."""
+    """Put a backslash behind every <, [ and backslash: a < or [ without one begins a control, so none occurs in a text."""
     return F.regexp_replace(text, r"([<\[\\])", r"$1\\")
 
 
@@ -56,9 +59,9 @@ def format_turns(df: DataFrame, template: dict | None = None, moves: dict | None
     return df.select(
         "conv_id", "turn", "role", "text", F.coalesce(allowed, no).alias("allowed"),
         F.array(
-            segment("before", pick(0, F.concat(F.lit(OTHER[0]), escape(role), F.lit(">"))), no),
-            segment("text", escape(F.coalesce(F.col("text"), F.lit(""))), pick(2, F.lit(OTHER[2]))),
-            segment("after", pick(1, F.lit(OTHER[1])), no)).alias("segments"))
+            segment("before", pick(0, F.concat(F.lit(OTHER[0]), escape(role), F.lit(OTHER[1]))), no),
+            segment("text", escape(F.coalesce(F.col("text"), F.lit(""))), pick(2, no)),
+            segment("after", pick(1, F.lit(OTHER[2])), no)).alias("segments"))
 
 
 def assemble(turns: DataFrame, final: set | None = None) -> DataFrame:
@@ -82,13 +85,47 @@ def format_conversations(df: DataFrame) -> DataFrame:
     return assemble(format_turns(df))
 
 
+def turns_of(formatted: Column, template: dict | None = None) -> Column:
+    """Array of (role, text, loss) read from a formatted text alone; anything else in it ends the job with an error.
+
+    A turn runs from the control before its text to the first control that ends one: no escaped text can hold that, as
+    each has a < or [ without a backslash behind it. A template's controls before must differ from each other.
+    """
+    template = template or TEMPLATE
+    quoted = lambda parts: "|".join(f"\\Q{p}\\E" for p in parts)
+    before = [b for b, _, _ in template.values()]
+    turn = (rf"(?s)(?:{quoted(before)}|\Q{OTHER[0]}\E.*?\Q{OTHER[1]}\E).*?"
+            rf"(?:{quoted(a for _, a, _ in template.values())}|\Q{OTHER[2]}\E)")
+
+    def between(x: Column, start: int | Column, after: str) -> Column:
+        return F.substring(x, F.lit(start) + 1 if isinstance(start, int) else start + 1,
+                           F.char_length(x) - start - len(after))
+
+    def read(x: Column) -> Column:
+        named = F.instr(x, OTHER[1]) - 1
+        result = F.struct(unescape(F.substring(x, F.lit(len(OTHER[0]) + 1), named - len(OTHER[0]))).alias("role"),
+                          unescape(between(x, named + len(OTHER[1]), OTHER[2])).alias("text"), F.lit(False).alias("loss"))
+        for role, (start, after, loss) in template.items():
+            result = F.when(F.startswith(x, F.lit(start)), F.struct(
+                F.lit(role).alias("role"), unescape(between(x, len(start), after)).alias("text"),
+                F.lit(loss).alias("loss"))).otherwise(result)
+        return result
+
+    def checked(found: Column) -> Column:
+        whole = F.aggregate(found, F.lit(0), lambda n, x: n + F.char_length(x)) == F.char_length(formatted)
+        return F.when(whole, F.transform(found, read)).otherwise(F.raise_error(
+            F.lit("a formatted conversation is not made of turns")).cast("array<struct<role:string,text:string,loss:boolean>>"))
+
+    return bind(F.regexp_extract_all(formatted, F.lit(turn), F.lit(0)), checked)
+
+
 def read_back(formatted: DataFrame) -> DataFrame:
-    """Counts and digests taken from the segments of formatted conversations."""
-    texts = F.filter("segments", lambda s: s["kind"] == "text")
-    turns = F.array_join(F.transform(texts, lambda s: F.concat(s["role"], F.lit("\n"), unescape(s["text"]), F.lit("\n"))), "")
-    loss = F.array_join(F.transform(F.filter("segments", lambda s: s["loss"]), lambda s: unescape(s["text"])), "")
-    return formatted.select(
-        "conv_id", F.size(texts).cast("long").alias("n_turns"), F.sha2(turns, 256).alias("turns_sha256"),
+    """Counts and digests of what the formatted text of each conversation says."""
+    turns = formatted.select("conv_id", "formatted", "valid", turns_of(F.col("formatted")).alias("turns"))
+    whole = F.array_join(F.transform("turns", lambda t: F.concat(t["role"], F.lit("\n"), t["text"], F.lit("\n"))), "")
+    loss = F.array_join(F.transform(F.filter("turns", lambda t: t["loss"]), lambda t: t["text"]), "")
+    return turns.select(
+        "conv_id", F.size("turns").cast("long").alias("n_turns"), F.sha2(whole, 256).alias("turns_sha256"),
         F.char_length(loss).cast("long").alias("loss_chars"), F.sha2(loss, 256).alias("loss_sha256"),
         F.char_length("formatted").cast("long").alias("formatted_chars"), "valid")
 
@@ -120,7 +157,7 @@ judged AS (
       WHEN previous = 'user' THEN role = 'assistant' ELSE false END AS allowed,
     length(body) + length(body) - length(replace(replace(replace(body, '<', ''), '[', ''), '\', ''))
     + CASE role WHEN 'system' THEN length('<<SYS>>' || '<</SYS>>') + 4 WHEN 'user' THEN length('<s>[INST] ' || ' [/INST]')
-      WHEN 'assistant' THEN length('  </s>') ELSE length('<turn ></turn>') + 2 * length(role)
+      WHEN 'assistant' THEN length('  </s>') ELSE length('<turn <is></turn>') + 2 * length(role)
         - length(replace(replace(replace(role, '<', ''), '[', ''), '\', '')) END AS chars
   FROM turns)
 SELECT conv_id, count(*) AS n_turns, sha256(string_agg(role || chr(10) || body || chr(10), '' ORDER BY k)) AS turns_sha256,

@@ -3,11 +3,12 @@
 from __future__ import annotations
 
 import uuid
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructField, StructType
 
 ARROW_ROWS = 500          # rows per Arrow batch: bounds a Python worker's memory with long texts
 SLICE_CHARS = 1_000_000   # characters handled at once inside a task
@@ -76,6 +77,25 @@ def bounded_broadcast(keys: DataFrame) -> DataFrame:
     return F.broadcast(keys) if keys.count() <= BROADCAST_KEYS else keys
 
 
+def with_fields(fields: list[StructField], more: str) -> StructType:
+    """Schema of the fields, whatever their names, and of those that ``more`` declares."""
+    return StructType([*fields, *StructType.fromDDL(more).fields])
+
+
+def packed(df: DataFrame, **more: Column) -> DataFrame:
+    """``document``: a struct of all columns, so that none clashes with what an operator adds; then ``more``.
+
+    ``select("document.*")`` gives the columns back.
+    """
+    return df.select(F.struct(*[F.col("`" + c.replace("`", "``") + "`") for c in df.columns]).alias("document"),
+                     *[value.alias(name) for name, value in more.items()])
+
+
+def bind(value: Column, use: Callable[[Column], Column]) -> Column:
+    """``use(value)`` with the value worked out once."""
+    return F.element_at(F.transform(F.array(value), use), 1)
+
+
 def sorted_by(df: DataFrame, *keys: str) -> DataFrame:
     """Rows of equal first key in one task, in order of all keys."""
     return df.repartition(keys[0]).sortWithinPartitions(*keys)

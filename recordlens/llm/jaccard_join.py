@@ -11,7 +11,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import (bounded_batches, bounded_broadcast, documents, local_forest, sorted_by, stage, text_slices)
+from .common import (bounded_batches, bounded_broadcast, documents, local_forest, packed, sorted_by, stage, text_slices)
 from .components import connected_components
 
 WORDS = 5
@@ -409,19 +409,19 @@ def similar_texts(docs: DataFrame, text: str = "text", words: int = WORDS, simil
 def one_per_class(docs: DataFrame, **options) -> DataFrame:
     """The rows of ``docs``, one of each class: that with the smallest doc_id (NULL last).
 
-    Only the rows that go are joined back to the texts.
+    Only the rows that go are joined back to the texts. ``docs`` may have any columns besides.
     """
     classes = stage(similar_texts(docs, **options), "classes")
     first = classes.groupBy("group").agg(F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "row")).alias("m"))
     gone = classes.select("row").distinct().join(first.select("m.row"), "row", "left_anti")
     repeated = classes.groupBy("row").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("row")
-    keyed = docs.withColumn("_row", F.xxhash64("doc_id", F.coalesce("text", F.lit(""))))
-    left = keyed.join(bounded_broadcast(gone.withColumnRenamed("row", "_row")), "_row", "left_anti")
-    repeated = bounded_broadcast(stage(repeated.withColumnRenamed("row", "_row"), "repeated"))
-    once = left.join(repeated, "_row", "left_anti")
+    keyed = packed(docs, row=F.xxhash64("doc_id", F.coalesce("text", F.lit(""))))
+    left = keyed.join(bounded_broadcast(stage(gone, "gone")), "row", "left_anti")
+    repeated = bounded_broadcast(stage(repeated, "repeated"))
+    once = left.join(repeated, "row", "left_anti")
     if not repeated.isEmpty():
-        once = once.unionByName(left.join(repeated, "_row", "left_semi").dropDuplicates(["_row"]))
-    return once.drop("_row")
+        once = once.unionByName(left.join(repeated, "row", "left_semi").dropDuplicates(["row"]))
+    return once.select("document.*")
 
 
 def op8_jaccard_join(spark, sf_dir):

@@ -10,7 +10,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import bounded_batches, documents, fold, text_slices
+from .common import bounded_batches, documents, fold, text_slices, with_fields
 
 DIMENSION = 8192   # components of a hypervector: unrelated ones have cosines of about 1 / sqrt(8192) = 0.011
 CODES = 64         # letter symbols: 0 separates words, others by letter
@@ -187,8 +187,7 @@ def predict(df: DataFrame, prototypes: dict[str, np.ndarray], text: str = "text"
                 names=[*batch.schema.names[:-1], "lang_pred", "score", "score_bound"])
 
     kept = df.select(*keep, F.col(text).alias("__text"))
-    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in kept.schema.fields[:-1])
-    return kept.mapInArrow(run, f"{schema}{', ' if schema else ''}lang_pred string, score double, score_bound double")
+    return kept.mapInArrow(run, with_fields(kept.schema.fields[:-1], "lang_pred string, score double, score_bound double"))
 
 
 def op5_language_id(spark, sf_dir):

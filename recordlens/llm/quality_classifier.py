@@ -11,7 +11,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import bounded_batches, documents, fold, stage, text_slices
+from .common import bounded_batches, documents, fold, packed, stage, text_slices, with_fields
 
 # Byte classes; UTF-8 bytes above 127 count as lower-case letters.
 LOWER, UPPER, DIGIT, SPACE, NEWLINE, COMMON, PIPE, BANG, SYMBOL = range(9)
@@ -75,8 +75,7 @@ def add_statistics(df: DataFrame, text: str, keep: tuple[str, ...]) -> DataFrame
                 names=[*batch.schema.names[:-1], "stats", "has_words"])
 
     kept = df.select(*keep, F.col(text).alias("__text"))
-    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in kept.schema.fields[:-1])
-    return kept.mapInArrow(run, f"{schema}{', ' if schema else ''}stats array<double>, has_words boolean")
+    return kept.mapInArrow(run, with_fields(kept.schema.fields[:-1], "stats array<double>, has_words boolean"))
 
 
 @dataclass
@@ -158,8 +157,7 @@ def score(df: DataFrame, model: Discriminant | None, keep: tuple[str, ...]) -> D
                 names=[*batch.schema.names[:-2], "score"])
 
     kept = df.select(*keep, "stats", "has_words")
-    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in kept.schema.fields[:-2])
-    return kept.mapInArrow(run, f"{schema}{', ' if schema else ''}score double")
+    return kept.mapInArrow(run, with_fields(kept.schema.fields[:-2], "score double"))
 
 
 def classify(docs: DataFrame, labels: DataFrame, threshold: float = 0.3) -> DataFrame:
@@ -177,11 +175,11 @@ def classify(docs: DataFrame, labels: DataFrame, threshold: float = 0.3) -> Data
 
 def keep_good(docs: DataFrame, labels: DataFrame, threshold: float = 0.3) -> DataFrame:
     """The rows of ``docs`` with a score of at least ``threshold``. Statistics are worked out once to learn and once
-    to judge, so that texts are not shuffled."""
+    to judge, so that texts are not shuffled. ``docs`` may have any columns besides."""
     stats = stage(add_statistics(docs.filter(fold("doc_id", 5) != 0), "text", ("doc_id",)), "quality")
     model = fit(stats.join(labels.select("doc_id", "quality"), "doc_id"))
-    judged = score(add_statistics(docs, "text", tuple(docs.columns)), model, tuple(docs.columns))
-    return judged.filter(F.col("score") >= threshold).select(*docs.columns)
+    judged = score(add_statistics(packed(docs, text=F.col("text")), "text", ("document",)), model, ("document",))
+    return judged.filter(F.col("score") >= threshold).select("document.*")
 
 
 def op4_quality_qda(spark, sf_dir):

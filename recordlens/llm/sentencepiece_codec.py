@@ -9,7 +9,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import bounded_batches, documents, text_slices
+from .common import bounded_batches, documents, text_slices, with_fields
 
 SPACE_MARK = "▁"
 MODEL = "piece_bpe_32k.model"
@@ -178,9 +178,8 @@ def encode_decode(df: DataFrame, model: bytes, text: str = "text", keep: tuple[s
                 names=[*batch.schema.names[:-1], "ids", "begins", "ends", "decoded"])
 
     kept = df.select(*keep, F.col(text).alias("__text"))
-    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in kept.schema.fields[:-1])
-    return kept.mapInArrow(
-        run, f"{schema}{', ' if schema else ''}ids array<int>, begins array<int>, ends array<int>, decoded string")
+    return kept.mapInArrow(run, with_fields(
+        kept.schema.fields[:-1], "ids array<int>, begins array<int>, ends array<int>, decoded string"))
 
 
 def digests(encoded: DataFrame) -> DataFrame:

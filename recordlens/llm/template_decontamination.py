@@ -2,12 +2,10 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import documents, stage
+from .common import bind, bounded_broadcast, documents, packed, stage
 
 WINDOW = 8               # template tokens per window; shorter items are matched as a whole
 LEAST_LITERAL = 4        # windows with fewer ordinary words match by their literal tokens only
@@ -35,11 +33,6 @@ def tokens(text: Column) -> Column:
     return F.regexp_extract_all(marked, F.lit(TOKEN), F.lit(0))
 
 
-def bind(value: Column, use: Callable[[Column], Column]) -> Column:
-    """``use(value)`` with the value worked out once."""
-    return F.element_at(F.transform(F.array(value), use), 1)
-
-
 def is_marked(token: Column) -> Column:
     return F.startswith(token, F.lit(NAME_MARK))
 
@@ -171,13 +164,33 @@ def contaminated(docs: DataFrame, items: DataFrame) -> DataFrame:
     NULL texts and ids: a NULL text holds nothing, a NULL doc_id is kept as such. Rows that repeat a doc_id
     are judged each and give one row per item. Items without tokens match nothing, and equal items match alike.
     """
-    spark = docs.sparkSession
+    kept = matches(docs, items)
+    best = F.max_by(F.struct("matched_tokens", "item_tokens", "n_slots", "n_conflicts", "reparameterised"),
+                    F.struct("matched_tokens", -F.col("n_conflicts")))
+    return kept.groupBy("doc_id", "item_id").agg(best.alias("b")).select("doc_id", "item_id", "b.*")
+
+
+def without_passages(docs: DataFrame, items: DataFrame) -> DataFrame:
+    """The rows of ``docs`` that hold no passage of ``items``.
+
+    A row goes for what its own text holds: rows are told apart by id and text, so neither a NULL nor a repeated id takes
+    other rows along. ``docs`` may have any columns besides.
+    """
+    held = stage(matches(docs, items).select("row").distinct(), "held")
+    return packed(docs, row=row_key()).join(bounded_broadcast(held), "row", "left_anti").select("document.*")
+
+
+def row_key() -> Column:
+    """Hash of a row's id and text, by which it is known; it also tells repeated ids apart."""
+    return F.xxhash64("doc_id", F.coalesce("text", F.lit("")))
+
+
+def matches(docs: DataFrame, items: DataFrame) -> DataFrame:
+    """The matches of ``contaminated``, one per alignment, with the ``row`` they lie in."""
     items = stage(benchmark_windows(items), "benchmark-windows")
     n_windows = items.count()
     short = sorted(r.width for r in items.filter(F.col("width") < WINDOW).select("width").distinct().collect())  # at most 7
-    # A row is known by a hash of its id and text, which also tells repeated ids apart.
-    keyed = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text")).withColumn(
-        "row", F.xxhash64("doc_id", "text"))
+    keyed = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"), row_key().alias("row"))
     # One pass over the texts for all widths; windows of different widths differ in their hashes.
     form = keyed.select("row", forms(F.col("text")).alias("form"))
     exploded = form.select("row", F.explode(F.concat(*[window_hashes("form", w) for w in (*short, WINDOW)])).alias("h")).select(
@@ -221,15 +234,11 @@ def contaminated(docs: DataFrame, items: DataFrame) -> DataFrame:
     slotted = pairs.withColumn("slots", slots)
     n_fillers = F.size(F.array_distinct(F.transform("slots", lambda s: s["item"])))
     judged = slotted.select(
-        "doc_id", "item_id", F.col("n_tokens").alias("item_tokens"),
-        (high - low).alias("span"),
+        "row", "doc_id", "item_id", F.col("n_tokens").alias("item_tokens"),
         F.size(F.filter("pairs", lambda p: same(p, "words", "kinds", "named"))).alias("matched_tokens"),
         n_fillers.alias("n_slots"), (F.size("slots") - n_fillers).alias("n_conflicts"),
         F.exists("pairs", lambda p: ~same(p, "words")).alias("reparameterised"))
-    kept = judged.filter(F.col("n_conflicts") <= F.col("n_slots") * MOST_CONFLICTS)
-    best = F.max_by(F.struct("matched_tokens", "item_tokens", "n_slots", "n_conflicts", "reparameterised"),
-                    F.struct("matched_tokens", -F.col("n_conflicts")))
-    return kept.groupBy("doc_id", "item_id").agg(best.alias("b")).select("doc_id", "item_id", "b.*")
+    return judged.filter(F.col("n_conflicts") <= F.col("n_slots") * MOST_CONFLICTS)
 
 
 def op6_template_decontamination(spark, sf_dir):
