@@ -1,4 +1,8 @@
-"""From raw documents to encoded ones: language, quality, near copies, benchmark passages, tokens."""
+"""From raw documents to encoded ones: language, quality, near copies, benchmark passages, tokens.
+
+Stages but the last return the columns of their input, whatever else it has besides id, text and language: an added column
+may bear any name. A row is judged by its own id and text, so rows with NULL or repeated ids stay or go each by itself.
+"""
 
 from __future__ import annotations
 
@@ -6,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from recordlens.llm import jaccard_join, language_id, quality_classifier, sentencepiece_codec, template_decontamination
-from recordlens.llm.common import bounded_broadcast, fold, stage
+from recordlens.llm.common import fold, packed, stage
 
 LEAST_LANGUAGE_SCORE = 0.05  # cosine below which a text is like no language, if it is long enough to tell
 LEAST_QUALITY = 0.3
@@ -19,10 +23,10 @@ def known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
     n-grams of a learned language would reach: a short text stays unless its n-grams speak against it.
     """
     prototypes = language_id.train(docs.filter(fold("doc_id", 4) != 2))
-    judged = language_id.predict(docs, prototypes, keep=tuple(docs.columns))
+    judged = language_id.predict(packed(docs, text=F.col("text")), prototypes, keep=("document",))
     known = (F.col("lang_pred") != "und") & (
         F.col("score") >= F.least(F.lit(LEAST_LANGUAGE_SCORE), F.col("score_bound")))
-    return judged.filter(known).select(*docs.columns)
+    return judged.filter(known).select("document.*")
 
 
 def good_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -37,9 +41,7 @@ def without_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Da
 
 def without_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Leaves out documents that hold a benchmark passage."""
-    items = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
-    held = stage(template_decontamination.contaminated(docs, items).select(F.col("doc_id").alias("_held")).distinct(), "held")
-    return docs.join(bounded_broadcast(held), docs["doc_id"].eqNullSafe(held["_held"]), "left_anti")
+    return template_decontamination.without_passages(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
 
 
 def encoded(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
