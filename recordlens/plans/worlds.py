@@ -8,38 +8,38 @@ row-by-row derivation of a whole table.
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-# Text fragments indexed by nation key: jurisdiction prefixes, streets and city endings.
-PREFIXES = (
-    "", "PF - ", "", "LW - ", "ABIA - ", "", "OOB - ", "BC -", "", "SV- ", "", "ABIA ", "MN - ",
-    "", "COTA - ", "", "RW - ", "WL -  ", "", "TC - ", "", "7 - ", "", "PF ", "",
-)
-STREETS = (
-    " QUARRY SB BLVD Unit 310C", " N Ih 20", " Fm 118", " e Us 77 Hwy Wb", " Pine Hollow",
-    " S Juniper Blvd Ste 450", " HERON POINT", " Walnut Dr., 78741", " Edison Rd # Bunit",
-    " W Cypress Ln Bldg 7", " IH 20 SVRD NB", " O'NEIL ST", " E Sam Hill Blvd #31",
-    " Rocky Ford Blvd Bunit 120", " SH 19 #", " McRae Dr Unit # 9", " FM-402", " Elgin Rd",
-    " RR 310 S Rm 12.4", " Larch Rd. Suite 2-D", " 9TH ST.", " n Juniper", " Hwy 64 Floor 3",
-    " US77 E", "  Harbour   Blvd ",
-)
-ENDINGS = (
-    " Austin", " Bee Caves", ", AUSTIN, TX, 78753 Austin", "", ", Pflugerville", " WEST LAKE HILLS",
-    " Cedar Park", " Austin", "", ", Lakeway, TX 78734", " Manor", " round rock", " Austin",
-    "", " Del Valle", " Hutto", ", Austin, TX, 78741-1234", " Austin", " Spicewood", "", " Austin",
-    " Sunset Valley", " Elgin", " Austin", " Dripping Springs",
-)
-BASES = {
-    "AUTOMOBILE": "Ann's  Foods Mart", "BUILDING": "Lucia's Italian Market",
-    "FURNITURE": "Arrow at K9 Stadium/North Hall", "HOUSEHOLD": "Pine Children's Medical Center",
-    "MACHINERY": "River Line",
-}
+from .. import fixed_values as V
+
+# A small grammar of names and addresses: every part is picked by the key, each with a divisor of its own, so that parts meet
+# in all combinations. Words between them are the nations' names; codes, cities and units are those the rules know.
+LETTERS = ("_0123456789", "aeioublmnrt")  # the nations' names as letters only
+CASES = 3  # words in capitals, with a capital, in small letters
+JOINS = (" - ", " -", "- ", " ", " -  ")
+NOUNS = (" Market", " Foods  Mart", "'s Kitchen", " Stadium/North Hall", " Children's Clinic", " Line", " Elementary", " - Grill",
+         " Gift Shop", " & Sons")
+LEADS = ("", "N ", "s ", "East ", " w ", "e ")
+ROADS = (" St", " BLVD", " Dr.", " Ln", " rd", " AVE.", " Hwy", "", "  Pkwy")
+DASHES = (" ", "-", "")
+BOUNDS = ("", "", " SB", " Nb", " SVRD EB", " Hwy WB", "")
+UNIT_FORMS = ("", " #", "", " Bunit", " Unit #", " # Bunit", *(f" {word}" for word in V.UNIT_WORDS_GEOCODE))
+UNIT_VALUES = (" 12", " 3-B", " C", "", " 4.1", "7")
+CODES = (*V.NAME_PREFIX_CITY, "OOB", "TC", "RR")
+DESIGNATORS = (*V.ROAD_DESIGNATORS, "Ih", "Fm", "us", "State Loop")
+#: Endings around a city, its capitals, its small letters and a ZIP.
+ENDINGS = ("", " {city}", " {upper}", ", {city}", ", {upper}, TX, {zip} {city}", ", {city}, TX {zip}-0001", ", {zip}", " {lower}")
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def _pick(values: tuple[str, ...], position: Column) -> Column:
-    return F.element_at(F.array(*[F.lit(v) for v in values]), position + 1)
+def _pick(values: tuple[str, ...], key: Column, divisor: int = 1) -> Column:
+    at = (F.floor(key / divisor) % len(values)).cast("int")
+    return F.element_at(F.array(*[F.lit(v) for v in values]), at + 1)
+
+
+def _sql_pick(values: tuple[str, ...], key: str, divisor: int = 1) -> str:
+    return f"{_sql_list(values)}[CAST({key} // {divisor} % {len(values)} AS INTEGER) + 1]"
 
 
 def _sql_list(values: tuple[str, ...]) -> str:
@@ -80,39 +80,52 @@ records AS (
 # --- establishments with raw names and addresses ----------------------------------
 
 def places(spark: SparkSession, sf_dir: str) -> DataFrame:
-    c = table(spark, sf_dir, "customer")
-    nation = F.col("c_nationkey")
-    base = F.when(F.lit(False), F.lit(""))
-    for segment, text in BASES.items():
-        base = base.when(F.col("c_mktsegment") == segment, F.lit(text))
-    house = F.floor(F.abs("c_acctbal")).cast("string")
-    street = F.concat(house, _pick(STREETS, nation))
-    tagged = F.when(F.col("c_acctbal") > 8000, F.concat(F.lit(" #"), F.col("c_custkey").cast("string")))
-    tagged = tagged.when(F.col("c_acctbal") > 6000, F.lit(" Store 12"))
+    c = table(spark, sf_dir, "customer").join(
+        table(spark, sf_dir, "nation").select(F.col("n_nationkey").alias("c_nationkey"), "n_name"), "c_nationkey")
+    key = F.col("c_custkey")
+    small = F.lower(F.translate("n_name", *LETTERS))
+    word = F.when(key % CASES == 0, F.upper(small)).when(
+        key % CASES == 1, F.concat(F.upper(F.substring(small, 1, 1)), F.substring(small, 2, 100))).otherwise(small)
+    zipped = F.concat(F.lit("787"), F.lpad(F.col("c_nationkey").cast("string"), 2, "0"))
+    prefix = F.when(key % 2 == 0, F.concat(_pick(CODES, key, 2), _pick(JOINS, key, 3))).otherwise("")
+    tagged = F.when(F.col("c_acctbal") > 8000, F.concat(F.lit(" #"), key.cast("string"))).when(
+        F.col("c_acctbal") > 6000, F.lit(" Store 12")).otherwise("")
+    numbered = F.concat(_pick(DESIGNATORS, key, 5), _pick(DASHES, key, 7), (key % 90 + 1).cast("string"))
+    road = F.when(key % 5 == 0, numbered).otherwise(F.concat(word, _pick(ROADS, key, 2)))
+    unit = _pick(UNIT_FORMS, key, 4)
+    ending = _pick(ENDINGS, key, 3)
+    city = _pick(V.CITIES, key, 11)
+    for mark, value in (("{city}", city), ("{upper}", F.upper(city)), ("{lower}", F.lower(city)), ("{zip}", zipped)):
+        ending = F.replace(ending, F.lit(mark), value)
     return c.select(
-        F.col("c_custkey").alias("id"),
-        F.concat(_pick(PREFIXES, nation), base, tagged.otherwise("")).alias("raw_name"),
-        F.concat(street, _pick(ENDINGS, nation)).alias("address"),
-        F.when(F.col("c_mktsegment") != "MACHINERY",
-               F.concat(F.lit("787"), F.lpad(nation.cast("string"), 2, "0"), F.lit("-0001")))
-        .alias("zip_code"),
+        key.alias("id"),
+        F.concat(prefix, word, _pick(NOUNS, key, 6), tagged).alias("raw_name"),
+        F.concat(F.floor(F.abs("c_acctbal")).cast("string"), F.lit(" "), _pick(LEADS, key), road, _pick(BOUNDS, key, 5),
+                 unit, F.when(unit == "", "").otherwise(_pick(UNIT_VALUES, key, 9)), ending).alias("address"),
+        F.when(F.col("c_mktsegment") != "MACHINERY", F.concat(zipped, F.lit("-0001"))).alias("zip_code"),
     )
 
 
 PLACES_SQL = f"""
 places AS (
-  SELECT c_custkey AS id,
-         {_sql_list(PREFIXES)}[c_nationkey + 1]
-         || CASE c_mktsegment {' '.join("WHEN '%s' THEN '%s'" % (s, t.replace("'", "''"))
-                                        for s, t in BASES.items())} END
-         || CASE WHEN c_acctbal > 8000 THEN ' #' || CAST(c_custkey AS VARCHAR)
-                 WHEN c_acctbal > 6000 THEN ' Store 12' ELSE '' END AS raw_name,
-         CAST(CAST(floor(abs(c_acctbal)) AS BIGINT) AS VARCHAR)
-         || {_sql_list(STREETS)}[c_nationkey + 1]
-         || {_sql_list(ENDINGS)}[c_nationkey + 1] AS address,
-         CASE WHEN c_mktsegment <> 'MACHINERY'
-              THEN '787' || lpad(CAST(c_nationkey AS VARCHAR), 2, '0') || '-0001' END AS zip_code
-  FROM customer
+  SELECT id, prefix || word || {_sql_pick(NOUNS, 'id', 6)} || tagged AS raw_name,
+         CAST(CAST(floor(abs(c_acctbal)) AS BIGINT) AS VARCHAR) || ' ' || {_sql_pick(LEADS, 'id')} || road
+         || {_sql_pick(BOUNDS, 'id', 5)} || unit || CASE WHEN unit = '' THEN '' ELSE {_sql_pick(UNIT_VALUES, 'id', 9)} END
+         || replace(replace(replace(replace({_sql_pick(ENDINGS, 'id', 3)}, '{{city}}', town), '{{upper}}', upper(town)),
+                            '{{lower}}', lower(town)), '{{zip}}', zipped) AS address,
+         CASE WHEN c_mktsegment <> 'MACHINERY' THEN zipped || '-0001' END AS zip_code
+  FROM (SELECT c_custkey AS id, c_acctbal, c_mktsegment, '787' || lpad(CAST(c_nationkey AS VARCHAR), 2, '0') AS zipped,
+               lower(translate(n_name, '{LETTERS[0]}', '{LETTERS[1]}')) AS small,
+               CASE c_custkey % {CASES} WHEN 0 THEN upper(small) WHEN 1 THEN upper(small[1]) || small[2:] ELSE small END AS word,
+               CASE WHEN c_custkey % 2 = 0 THEN {_sql_pick(CODES, 'c_custkey', 2)} || {_sql_pick(JOINS, 'c_custkey', 3)}
+                    ELSE '' END AS prefix,
+               CASE WHEN c_acctbal > 8000 THEN ' #' || CAST(c_custkey AS VARCHAR)
+                    WHEN c_acctbal > 6000 THEN ' Store 12' ELSE '' END AS tagged,
+               CASE WHEN c_custkey % 5 = 0 THEN {_sql_pick(DESIGNATORS, 'c_custkey', 5)} || {_sql_pick(DASHES, 'c_custkey', 7)}
+                         || CAST(c_custkey % 90 + 1 AS VARCHAR)
+                    ELSE word || {_sql_pick(ROADS, 'c_custkey', 2)} END AS road,
+               {_sql_pick(UNIT_FORMS, 'c_custkey', 4)} AS unit, {_sql_pick(V.CITIES, 'c_custkey', 11)} AS town
+        FROM customer JOIN nation ON n_nationkey = c_nationkey)
 )"""
 
 
