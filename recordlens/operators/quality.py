@@ -1,25 +1,28 @@
-"""Data-quality suite: every check yields one (label, ok, n_bad) row."""
+"""Data-quality suite: every check yields one (label, ok, n_bad) row, and a detail that names rows which fail."""
 
 from collections.abc import Sequence
 from dataclasses import dataclass
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.text import squish
+from ..session import materialise
 from .aggregate import duplicates
+from .compare import differences
 
 
 @dataclass(frozen=True)
 class RowChecks:
     """Conditions every row of one frame must meet; NULL counts as a failure.
 
-    All conditions of a frame are counted in a single pass over it.
+    All conditions of a frame are counted in a single pass over it. ``key`` names a row in details; by default all columns do.
     """
 
     df: DataFrame
     holds: dict[str, Column]
+    key: tuple[str, ...] = ()
 
 
 @dataclass(frozen=True)
@@ -28,6 +31,7 @@ class EmptyCheck:
 
     label: str
     df: DataFrame
+    key: tuple[str, ...] = ()
 
 
 @dataclass(frozen=True)
@@ -65,6 +69,42 @@ def run_checks(checks: Sequence[RowChecks | EmptyCheck | ValueCheck]) -> DataFra
     return stacked.select("label", (F.col("n_bad") == 0).alias("ok"), "n_bad")
 
 
+def _named(df: DataFrame, key: Sequence[str]) -> Column:
+    return F.array_join(F.array(*[F.col(f"`{c}`").cast("string") for c in (key or df.columns)]), "|", "NULL")
+
+
+def _failures(check: "RowChecks | EmptyCheck | ValueCheck") -> DataFrame:
+    """label and witness of everything that fails the check, in one pass over its frame."""
+    if isinstance(check, RowChecks):
+        failed = F.array_compact(F.array(*[
+            F.when(~F.coalesce(holds, F.lit(False)), F.lit(label)) for label, holds in check.holds.items()]))
+        return check.df.select(F.explode(failed).alias("label"), _named(check.df, check.key).alias("witness"))
+    if isinstance(check, EmptyCheck):
+        return check.df.select(F.lit(check.label).alias("label"), _named(check.df, check.key).alias("witness"))
+    return check.df.filter(~F.coalesce(check.ok, F.lit(False))).select(
+        F.lit(check.label).alias("label"),
+        F.array_join(F.array(*[F.concat(F.lit(f"{c}="), F.col(f"`{c}`").cast("string")) for c in check.df.columns]), " ", "NULL")
+        .alias("witness"))
+
+
+def run_detailed(checks: Sequence["RowChecks | EmptyCheck | ValueCheck"], witnesses: int = 3) -> DataFrame:
+    """label, ok, n_bad and detail: the smallest ``witnesses`` names of failing rows, in order, NULL where nothing fails.
+
+    Each frame is read once; what fails is staged, and then counted and named. Each task keeps its own smallest few
+    of a check before they are merged, so the detail is small and does not depend on how rows are dealt. A value check
+    shows its values.
+    """
+    failed = materialise(reduce(lambda a, b: a.unionByName(b), [_failures(c) for c in checks]))
+    counts = failed.groupBy("label").agg(F.count(F.lit(1)).alias("n_bad"))
+    place = F.row_number().over(Window.partitionBy("label").orderBy("witness"))
+    few = failed.distinct().withColumn("_place", place).filter(F.col("_place") <= witnesses)
+    named = few.groupBy("label").agg(F.array_join(F.sort_array(F.collect_list("witness")), "; ").alias("detail"))
+    labels = [label for c in checks for label in (c.holds if isinstance(c, RowChecks) else [c.label])]
+    all_labels = failed.sparkSession.createDataFrame([(x,) for x in labels], "label string")
+    return all_labels.join(counts, "label", "left").join(named, "label", "left").select(
+        "label", F.col("n_bad").isNull().alias("ok"), F.coalesce("n_bad", F.lit(0)).alias("n_bad"), "detail")
+
+
 def verdict(results: DataFrame) -> DataFrame:
     """One row: checks run, passed and failed. Publication is gated on ``ok``."""
     return results.agg(
@@ -83,10 +123,8 @@ def not_empty(label: str, df: DataFrame) -> ValueCheck:
 
 
 def same_ranking(label: str, published: DataFrame, derived: DataFrame) -> EmptyCheck:
-    """Both rankings hold the same rows at the same ranks."""
-    derived = derived.select(*published.columns)
-    differences = published.exceptAll(derived).unionByName(derived.exceptAll(published))
-    return EmptyCheck(label, differences)
+    """Both rankings hold the same rows at the same ranks; a failure names table, rank and what differs."""
+    return EmptyCheck(label, differences(published, derived.select(*published.columns), ["table", "rank"]))
 
 
 def free_of(label: str, df: DataFrame, marker: str) -> RowChecks:

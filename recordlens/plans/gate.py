@@ -10,6 +10,7 @@ from ..functions.dates import data_through, recency_cutoff
 from ..functions.text import display_name, house_num, squish, venue_of
 from ..operators import quality as Q
 from ..operators.merge import lost_keys, reparent
+from ..sources.published import Document
 from .publish import DATE, KEY, latest_scored
 
 
@@ -29,12 +30,12 @@ def inspection_checks(ins: DataFrame) -> list:
             "no row lacks a facility id": F.col(KEY).isNotNull(),
             "no row lacks a name": F.col("restaurant_name").isNotNull(),
             "no zero is typed as a scored inspection": ~F.coalesce(typed_zero, F.lit(False)),
-        }),
+        }, key=(KEY, DATE, "score")),
         Q.no_duplicates("no observation stands twice", ins, [KEY, DATE, "score"]),
         Q.RowChecks(latest, {
             "no zero survives latest-per-facility": F.col("score") > 0,
             "no market is ranked as a restaurant": ~(restaurant & market) | mandola,
-        }),
+        }, key=(KEY,)),
         Q.EmptyCheck("a zero never hides an earlier real score",
                      lost_keys(scored_once, latest, [KEY])),
         Q.ValueCheck("cutoff is anchored to the data",
@@ -50,6 +51,26 @@ def no_loss_checks(export: DataFrame, merges: DataFrame, ins: DataFrame) -> list
     return [Q.EmptyCheck("no export observation is lost", lost_keys(known, ins, [KEY, DATE, "score"]))]
 
 
+def document_checks(document: Document) -> list:
+    """The published map as it was written: every claim is taken from its own header and rows."""
+    header = document.header
+    rows = document.rows.withColumn("s", F.col("s").cast("int"))
+    colours = ",".join(str(b.get("color")) for b in header["buckets"])
+    return [
+        Q.RowChecks(rows, {
+            "no zero on the map": F.col("s") > 0,
+            "every map row is inside the stated window": F.col("d") >= header["cutoff"],
+            "no map row is later than the stated data": F.col("d") <= header["data_through"],
+        }, key=("n", "a")),
+        Q.ValueCheck("map rows equal the stated count", rows.agg(F.count(F.lit(1)).alias("n")),
+                     F.col("n") == header["n_mapped"]),
+        Q.ValueCheck("band colours are the published ones", rows.sparkSession.range(1).select(F.lit(colours).alias("colours")),
+                     F.col("colours") == ",".join(b[2] for b in V.BANDS)),
+        Q.RowChecks(rows, {"map carries no inspector comments": ~F.contains(
+            F.concat_ws(" ", *header["fields"]), F.lit(V.COMMENT_MARKER))}, key=("n", "a")),
+    ]
+
+
 def map_checks(rows: DataFrame, metrics: DataFrame, ins: DataFrame) -> list:
     cutoff = F.date_format(recency_cutoff(ins, DATE), "yyyy-MM-dd")
     through = F.date_format(data_through(ins, DATE), "yyyy-MM-dd")
@@ -139,7 +160,7 @@ def ranking_checks(published: DataFrame, ins: DataFrame) -> list:
                 ~of_readers | (categorize("name") == V.RESTAURANT),
             "no administrative name is ranked": ~is_admin_flagged("name"),
             "no ranked entity is outside the window": F.col("latest").between(low, high),
-        }),
+        }, key=("table", "rank")),
         Q.no_duplicates("one slot per operator",
                         published.withColumn("venue", venue_of("name")), ["table", "venue"]),
         Q.no_duplicates("no two ranked rows read alike",

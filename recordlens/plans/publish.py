@@ -11,6 +11,8 @@ from ..functions.text import display_name, venue_of
 from ..operators import geocode, ranking
 from ..operators.select import first_by, latest_per_key
 from ..operators.spread import encode_dictionary, spread_join
+from ..sources.published import Document, write_document
+from ..sources.sinks import publish_metrics
 
 KEY, DATE = "facility_id", "inspection_date"
 
@@ -35,14 +37,18 @@ def located_latest(ins: DataFrame, cache: DataFrame) -> DataFrame:
     return spread_join(keyed, geocode.resolved(cache), ["query"], "left")
 
 
-def map_rows(ins: DataFrame, cache: DataFrame) -> DataFrame:
-    """One positional row per mapped facility, plus ``facility_id`` for audits."""
+def map_points(ins: DataFrame, cache: DataFrame) -> DataFrame:
+    """Latest rows inside the window that have a position, stacks pulled apart."""
     points = located_latest(ins, cache).filter(
         (F.col(DATE) >= recency_cutoff(ins, DATE))
         & F.col("latitude").isNotNull() & F.col("longitude").isNotNull()
     )
-    placed = geocode.unstack(points, "latitude", "longitude", [KEY])
-    coded = encode_dictionary(placed, "city", "c")
+    return geocode.unstack(points, "latitude", "longitude", [KEY])
+
+
+def map_rows(ins: DataFrame, cache: DataFrame) -> DataFrame:
+    """One positional row per mapped facility, plus ``facility_id`` for audits."""
+    coded = encode_dictionary(map_points(ins, cache), "city", "c")
     return coded.select(
         KEY,
         F.col("restaurant_name").alias("n"),
@@ -60,6 +66,42 @@ def map_rows(ins: DataFrame, cache: DataFrame) -> DataFrame:
     ).orderBy(F.desc("s"), KEY)
 
 
+def map_header(ins: DataFrame, cache: DataFrame) -> DataFrame:
+    """One row: counts, the three dates, and what codes and bands of the rows stand for. Cities are as many as there are."""
+    located = F.col("latitude").isNotNull() & F.col("longitude").isNotNull()
+    latest = located_latest(ins, cache)
+    metrics = publish_metrics(latest, ins, DATE, located)
+    shown = latest.filter(located & (F.col(DATE) >= recency_cutoff(ins, DATE)))
+    cities = F.array_sort(F.collect_set("city")).alias("cities")
+    bands = [F.struct(F.lit(key).alias("key"), F.lit(label).alias("label"), F.lit(color).alias("color"),
+                      F.lit(low).alias("lo"), F.lit(high).alias("hi")) for key, label, color, low, high in V.BANDS]
+    return metrics.withColumn("cities", shown.agg(cities).scalar()).select(
+        *[F.date_format(c, "yyyy-MM-dd").alias(c) for c in ("generated", "data_through", "cutoff")],
+        "recency_months", "n_ever", "n_total", "n_mapped", "cities",
+        F.array(*[F.lit(c) for c in V.CATEGORIES]).alias("categories"), F.array(*bands).alias("buckets"))
+
+
+def write_map(ins: DataFrame, cache: DataFrame, path: str) -> None:
+    """The map document: high scores first, so that low ones are drawn last and lie on top."""
+    rows = map_rows(ins, cache).withColumns({"_first": -F.col("s"), "_then": F.col(KEY)}).drop(KEY)
+    write_document(rows, map_header(ins, cache), path, ["_first", "_then"])
+
+
+def write_rankings(ranked: DataFrame, ins: DataFrame, path: str) -> None:
+    """The ranking tables as a document, raw names and facility ids included, as the gate reads it."""
+    header = ins.agg(F.date_format(recency_cutoff(ins, DATE), "yyyy-MM-dd").alias("cutoff"),
+                     F.date_format(F.max(DATE), "yyyy-MM-dd").alias("data_through"))
+    rows = ranked.withColumns({"_first": F.col("table"), "_then": F.col("rank")})
+    write_document(rows, header, path, ["_first", "_then"])
+
+
+def ranking_rows(document: Document) -> DataFrame:
+    """The rows of a ranking document with their types."""
+    kinds = {"rank": "int", "mean_score": "double", "n": "long", "min_score": "int", "max_score": "int", "latest_score": "int",
+             "latest": "date"}
+    return document.rows.select(*[F.col(c).cast(kinds.get(c, "string")).alias(c) for c in RANKING_COLUMNS])
+
+
 def ranking_profile(ins: DataFrame, legacy_followup_only: bool = False) -> DataFrame:
     """Facilities that may be ranked: enough routine scored records, the newest one recent.
 

@@ -12,20 +12,20 @@ from ..functions.dates import portal_date
 from ..functions.text import squish, to_int, zip5
 from ..operators.geocode import one_per_query
 from ..operators.select import dedupe_prefer, desc
+from .csv_records import read_csv
 
 FORMATS = ("csv", "parquet", "orc", "json")
 
 
 def read_table(spark: SparkSession, path: str, schema: T.StructType, fmt: str = "parquet") -> DataFrame:
     """The columns of ``schema``. CSV needs a header and binds by name; other columns are left out, values that do
-    not fit their type are NULL. Quoted fields may hold line breaks, so a CSV file is read by one task: land big
-    feeds as Parquet or JSON."""
+    not fit their type are NULL. Quoted fields may hold line breaks, and a file is still read by many tasks."""
     if fmt not in FORMATS:
         raise ValueError(f"format must be one of {FORMATS}")
     if fmt != "csv":
         return spark.read.schema(schema).format(fmt).load(path)
     # With a schema the reader would bind columns by position; here they are taken by name.
-    raw = spark.read.options(header=True, nullValue="NA", quote='"', escape='"', multiLine=True).csv(path)
+    raw = read_csv(spark, path)
     missing = [f.name for f in schema if f.name not in raw.columns]
     if missing:
         raise ValueError(f"columns missing in {path}: {missing}")

@@ -10,7 +10,7 @@ sys.path.insert(0, str(Path(__file__).resolve().parents[1] / "tools"))
 
 import compare  # noqa: E402
 import __spark_entry__ as entry  # noqa: E402
-from recordlens.plans.whole import ORACLE, QUERIES  # noqa: E402
+from recordlens.plans.stores import ORACLE, QUERIES  # noqa: E402
 
 SF = "/root/testdata/sf0.001"
 pytestmark = pytest.mark.skipif(not Path(SF).exists(), reason="shared test tables not present")
