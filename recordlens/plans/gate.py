@@ -178,5 +178,5 @@ def crosswalk_checks(crosswalk: DataFrame) -> list:
         Q.RowChecks(matched, {
             "no permit is matched to another street number":
                 ours.isNull() | theirs.isNull() | (ours == theirs),
-        }),
+        }, key=("permitID",)),
     ]

@@ -15,7 +15,7 @@ from ..session import materialise
 from ..sources.published import read_document
 from ..sources.snapshots import Snapshots
 from ..sources.state_log import StateLog
-from . import gate, publish
+from . import gate, publish, resolved  # noqa: F401
 from . import worlds as W
 from .catalog import LOG_SQL, PLAN_SQL, _fetch_log, _plan, with_records
 from .whole import MAP_SQL, ORACLE, QUERIES, RANKED_SQL, _cache, _merged, _new_path, query

@@ -140,13 +140,9 @@ def facility_profiles(spark, sf_dir):
 
 # --- merge --------------------------------------------------------------------------
 
-MERGED_SQL = FEEDS_SQL + f""",
-links AS (SELECT 'P' || c_custkey AS permitID, CASE WHEN c_custkey % 5 = 0 THEN 'portal-P' ELSE 'F' END || c_custkey AS facility_id
-          FROM customer),
-old AS (SELECT * REPLACE (CASE WHEN CAST(facility_id[2:] AS BIGINT) % 10 = 3
-                               THEN 'F' || (CAST(facility_id[2:] AS BIGINT) + 1) ELSE facility_id END AS facility_id)
-        FROM export),
-linked AS (SELECT * FROM portal JOIN links USING (permitID) WHERE inspectionType = '{V.SCORED_TYPE}'),
+#: From ``old`` (the export under its live ids), ``feed`` (the portal) and ``links`` to the merged table ``ins``.
+MERGE_SQL = f"""
+linked AS (SELECT * FROM feed JOIN links USING (permitID) WHERE inspectionType = '{V.SCORED_TYPE}'),
 stacked AS (
   SELECT 0 AS p, facility_id, date AS inspection_date, score, purpose, inspectionType AS inspection_type,
          programName AS program_name, permitID AS permit_id, inspectionID AS inspection_id, 'portal' AS source FROM linked
@@ -163,7 +159,7 @@ wide AS (
          regexp_replace(lower(coalesce(a.restaurant_name, b.restaurant_name)), '[^a-z0-9]+', '', 'g') AS name_key
   FROM kept k LEFT JOIN known a USING (facility_id) LEFT JOIN seen b USING (facility_id)),
 types AS (SELECT regexp_replace(lower(establishmentName), '[^a-z0-9]+', '', 'g') AS name_key, date AS inspection_date, score,
-                 inspectionType AS t, programName AS g FROM portal WHERE score IS NOT NULL
+                 inspectionType AS t, programName AS g FROM feed WHERE score IS NOT NULL
           QUALIFY row_number() OVER (PARTITION BY name_key, date, score ORDER BY inspectionID) = 1),
 ins AS (SELECT facility_id, restaurant_name, address, street, city, zip5, inspection_date, score, purpose,
                purpose = 'Follow-Up' AS is_followup, coalesce(inspection_type, t) AS inspection_type,
@@ -171,6 +167,14 @@ ins AS (SELECT facility_id, restaurant_name, address, street, city, zip5, inspec
         FROM wide LEFT JOIN types USING (name_key, inspection_date, score))
 """
 
+MERGED_SQL = FEEDS_SQL + f""",
+links AS (SELECT 'P' || c_custkey AS permitID, CASE WHEN c_custkey % 5 = 0 THEN 'portal-P' ELSE 'F' END || c_custkey AS facility_id
+          FROM customer),
+old AS (SELECT * REPLACE (CASE WHEN CAST(facility_id[2:] AS BIGINT) % 10 = 3
+                               THEN 'F' || (CAST(facility_id[2:] AS BIGINT) + 1) ELSE facility_id END AS facility_id)
+        FROM export),
+feed AS (SELECT * FROM portal),""" + MERGE_SQL
+
 
 def _links(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
     c = W.table(spark, sf_dir, "customer").select(F.col("c_custkey").alias("k"))

@@ -221,7 +221,10 @@ a AS (SELECT *, {_keyed('p_name', 'p_addr')} FROM a0),
 ea AS (SELECT DISTINCT 'P' || CAST(entity AS VARCHAR) AS permit_id, d, score FROM records
        WHERE st IN ('F', 'O')),
 eb AS (SELECT DISTINCT 'F' || CAST(entity AS VARCHAR) AS facility_id, d, score FROM records
-       WHERE st IN ('O', 'P')),
+       WHERE st IN ('O', 'P'))"""
+
+#: From entities (a, b) and their events (ea, eb) to matches by tiers and by corroboration.
+RESOLVE_SQL = """,
 shared AS (SELECT permit_id, facility_id, count(*) AS s FROM ea JOIN eb USING (d, score)
            GROUP BY permit_id, facility_id),
 pairs AS (
@@ -265,3 +268,5 @@ corroborated AS (
          CAST(s AS INTEGER) AS n_shared_events
   FROM near QUALIFY count(*) OVER (PARTITION BY permit_id) = 1
 )"""
+
+SIDES_SQL += RESOLVE_SQL
