@@ -1,8 +1,8 @@
 """Joins and positions that stay balanced when one key or group is huge."""
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..session import materialise
@@ -76,3 +76,14 @@ def dictionary(df: DataFrame, col: str, code: str = "code") -> DataFrame:
 def encode_dictionary(df: DataFrame, col: str, code: str) -> DataFrame:
     """Add the dictionary code of ``col`` (NULL for NULL)."""
     return spread_join(df, dictionary(df, col, code), [col], "left")
+
+
+def by_distinct(df: DataFrame, col: str, out: str, rule: Callable[[Column], Column]) -> DataFrame:
+    """``df`` with ``rule`` of ``col`` as ``out``, worked out once per distinct value and joined back, also to a hot value.
+
+    Worth it where values repeat and the rule is dear, as a cascade of patterns is.
+    """
+    coded = df.filter(F.col(col).isNotNull()).select(col).distinct().select(col, rule(F.col(col)).alias("_coded"))
+    joined = spread_join(df, coded, [col], "left")
+    nothing = rule(F.lit(None).cast("string"))
+    return joined.withColumn(out, F.when(F.col(col).isNull(), nothing).otherwise(F.col("_coded"))).drop("_coded")

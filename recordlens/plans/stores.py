@@ -9,15 +9,21 @@ from pyspark.sql import types as T
 
 from .. import fixed_values as V
 from ..operators import fetch as FE
+from ..functions.classify import categorize
+from ..operators import geocode as GE
 from ..operators import quality as Q
 from ..operators.compare import differences
+from ..operators.search_index import SearchIndex
+from ..operators.spread import by_distinct
 from ..session import materialise
 from ..sources.published import read_document
+from ..sources.sinks import append_stamped
 from ..sources.snapshots import Snapshots
 from ..sources.state_log import StateLog
+from ..sources.tables import read_geocode_cache
 from . import gate, publish, resolved  # noqa: F401
 from . import worlds as W
-from .catalog import LOG_SQL, PLAN_SQL, _fetch_log, _plan, with_records
+from .catalog import ADDRESS_CTES, LOG_SQL, PLAN_SQL, _addresses, _category_sql, _fetch_log, _plan, with_records
 from .whole import MAP_SQL, ORACLE, QUERIES, RANKED_SQL, _cache, _merged, _new_path, query
 
 # --- newest versions in buckets -----------------------------------------------------
@@ -275,4 +281,58 @@ def checks_detailed(spark, sf_dir):
         Q.ValueCheck("there are few records", records.agg(F.count(F.lit(1)).alias("n")), F.col("n") < 10)])
 
 
+# --- search, categories, readers ----------------------------------------------------
+
+SEARCHED = ("the", "ung", "éa", "qzx", "de la", "t", " DER ")
+
+SEARCH_SQL = " UNION ALL ".join(
+    f"""SELECT '{text}' AS text, doc_id, source FROM documents
+        WHERE contains(lower(concat_ws(' ', source, text)), '{text.strip().lower()}') AND {len(text.strip())} >= 2"""
+    for text in SEARCHED)
+
+
+@query("indexed_search", SEARCH_SQL)
+def indexed_search(spark, sf_dir):
+    """All documents that hold each of some texts, found through one index."""
+    index = SearchIndex(_new_path(spark, "search"), "doc_id")
+    index.build(W.table(spark, sf_dir, "documents").select("doc_id", "source", "text"), ["source", "text"])
+    found = None
+    for text in SEARCHED:
+        part = index.find(spark, text).select(F.lit(text).alias("text"), "doc_id", "source")
+        found = part if found is None else found.unionByName(part)
+    return found
+
+
+@query("categories_by_name", f"""
+WITH {W.RECORDS_SQL}, {W.PLACES_SQL},
+seen AS (SELECT rid, CASE WHEN rid % 50 <> 0 THEN raw_name END AS name FROM records JOIN places ON id = entity)
+SELECT rid, name, {_category_sql('name')} AS category FROM seen""")
+def categories_by_name(spark, sf_dir):
+    """The category of every record, its rules applied once per name."""
+    rows = W.records(spark, sf_dir).join(W.places(spark, sf_dir), F.col("entity") == F.col("id"))
+    named = rows.select("rid", F.when(F.col("rid") % 50 != 0, F.col("raw_name")).alias("name"))
+    return by_distinct(named, "name", "category", categorize)
+
+
+@query("pending_without_cache", ADDRESS_CTES.strip() + """
+SELECT DISTINCT query, street_norm, city, zip5 FROM s4 WHERE street_norm IS NOT NULL AND street_norm <> ''""")
+def pending_without_cache(spark, sf_dir):
+    """Every key is pending where no cache has been written yet."""
+    cache = read_geocode_cache(spark, _new_path(spark, "no-cache"))
+    keys = _addresses(spark, sf_dir).select("query", "street_norm", "city", "zip5")
+    return GE.pending(GE.targets(keys, ["query", "street_norm", "city", "zip5"]), cache)
+
+
+@query("appended_twice", """
+SELECT n_nationkey, n_name, 2 AS copies, 2 AS stamped FROM nation""")
+def appended_twice(spark, sf_dir):
+    """A table appended two times: every record twice, each with a time of ingest."""
+    path = _new_path(spark, "appended")
+    for _ in range(2):
+        append_stamped(W.table(spark, sf_dir, "nation").select("n_nationkey", "n_name"), path)
+    stamp = F.rlike("scraped_at", F.lit(r"^[0-9]{4}-[0-9]{2}-[0-9]{2}T[0-9:]{8}Z$"))
+    return spark.read.parquet(path).groupBy("n_nationkey", "n_name").agg(
+        F.count(F.lit(1)).alias("copies"), F.count_if(stamp).alias("stamped"))
+
+
 __all__ = ["QUERIES", "ORACLE"]
