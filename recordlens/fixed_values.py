@@ -1,7 +1,7 @@
 """Fixed values.
 
 Every constant here has to equal the published rules for results to come out right, so
-they are stated plainly and together. Nothing in this module computes anything.
+they are stated plainly and together. Nothing is computed but patterns put together from lists.
 """
 
 # --- recency, thresholds, limits -------------------------------------------------
@@ -87,6 +87,26 @@ UNIT_WORDS_GEOCODE = (
 UNIT_WORDS_MATCH = (
     "suite", "ste", "unit", "bunit", "bldg", "building", "apt", "rm", "room", "fl", "floor",
 )
+# Patterns and replacements of the address rules, applied in order.
+FULL_CITY_TAIL = r"(?i),\s*[A-Za-z .]+,\s*TX,?\s*[0-9]{5}(-[0-9]{4})?(\s+[A-Za-z .]+)?$"
+HIDDEN_ZIP = r"\b(7[0-9]{4})\b"
+SHOWN_UNIT_RULES = (
+    (r"(?i)#?\s*\bBunit\b", " Unit"),
+    (r"(?i)\bUnit\s*#\s*", "Unit "),
+    (r"(?i)\s*#?\s*\bUnit\s*$", ""),
+    (r"#\s*#", "#"),
+    (r"\s*#\s*$", ""),
+)
+GEOCODE_STREET_RULES = (
+    (r"(?i)\s+B?unit\b.*$", ""),
+    (rf"(?i)\s+({'|'.join(UNIT_WORDS_GEOCODE)})\.?\s*[A-Za-z0-9&/-]*\.?$", ""),
+    (r"\s+#\s*[A-Za-z0-9&/-]+$", ""),
+    (r"(?i)\bSVRD\b", "Service Rd"),
+    (rf"(?i)\s+\b({'|'.join(BOUND_SUFFIXES)})\b", ""),
+    (r"(?i)\bIH\s*-?\s*([0-9]+)", "I-$1"),
+    (r"(?i)\bHwy\b", "Highway"),
+    (r"(?i)\bFM\s*-?\s*([0-9]+)", "FM $1"),
+)
 VENUE_SUFFIX_WORDS = (r"#", r"No\.?", "Unit", "Stand", "Store")
 
 # --- establishment categories, in dictionary order -------------------------------

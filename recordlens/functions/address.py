@@ -9,7 +9,6 @@ from .. import fixed_values as V
 from .text import _c, blank_to_null, remove, squish, title_case
 
 CITY_PATTERN = "(" + "|".join(V.CITIES) + ")"
-TEXT_ZIP = r"\b(7[0-9]{4})\b"
 
 
 def _lookup(mapping: dict[str, str], key: Column) -> Column:
@@ -31,20 +30,13 @@ def derive_city(address: Column | str, name: Column | str, default: str = V.DEFA
 
 def street_only(address: Column | str) -> Column:
     """Address without its city. The bare city is stripped once only."""
-    full_tail = r"(?i),\s*[A-Za-z .]+,\s*TX,?\s*[0-9]{5}(-[0-9]{4})?(\s+[A-Za-z .]+)?$"
-    return squish(remove(remove(squish(address), full_tail), rf"(?i)[,\s]+{CITY_PATTERN}$"))
+    return squish(remove(remove(squish(address), V.FULL_CITY_TAIL), rf"(?i)[,\s]+{CITY_PATTERN}$"))
 
 
 def display_street(street: Column | str) -> Column:
     """Reader-facing street: unit numbers stay, shouting and export artefacts go."""
     a = squish(street)
-    for pattern, replacement in (
-        (r"(?i)#?\s*\bBunit\b", " Unit"),
-        (r"(?i)\bUnit\s*#\s*", "Unit "),
-        (r"(?i)\s*#?\s*\bUnit\s*$", ""),
-        (r"#\s*#", "#"),
-        (r"\s*#\s*$", ""),
-    ):
+    for pattern, replacement in V.SHOWN_UNIT_RULES:
         a = F.regexp_replace(a, pattern, replacement)
 
     # Regex callbacks do not exist here: cut the text into capital runs and the rest, calm
@@ -67,18 +59,7 @@ def normalize_street(street: Column | str) -> Column:
     """Street in the form geocoders match: no unit, no shouting, plain highway notation."""
     a = squish(street)
     a = F.when(~F.rlike(a, F.lit("[a-z]")), title_case(a)).otherwise(a)
-    units = "|".join(V.UNIT_WORDS_GEOCODE)
-    bounds = "|".join(V.BOUND_SUFFIXES)
-    for pattern, replacement in (
-        (r"(?i)\s+B?unit\b.*$", ""),
-        (rf"(?i)\s+({units})\.?\s*[A-Za-z0-9&/-]*\.?$", ""),
-        (r"\s+#\s*[A-Za-z0-9&/-]+$", ""),
-        (r"(?i)\bSVRD\b", "Service Rd"),
-        (rf"(?i)\s+\b({bounds})\b", ""),
-        (r"(?i)\bIH\s*-?\s*([0-9]+)", "I-$1"),
-        (r"(?i)\bHwy\b", "Highway"),
-        (r"(?i)\bFM\s*-?\s*([0-9]+)", "FM $1"),
-    ):
+    for pattern, replacement in V.GEOCODE_STREET_RULES:
         a = F.regexp_replace(a, pattern, replacement)
     return squish(a)
 
@@ -97,7 +78,7 @@ def geocode_query(
     """
     given = blank_to_null(zip_code)
     text = _c(street) if address is None else F.coalesce(_c(address), _c(street))
-    recovered = F.when(given.isNull(), blank_to_null(F.regexp_extract(text, TEXT_ZIP, 1)))
+    recovered = F.when(given.isNull(), blank_to_null(F.regexp_extract(text, V.HIDDEN_ZIP, 1)))
     zipped = F.coalesce(given, recovered)
 
     norm = normalize_street(street)

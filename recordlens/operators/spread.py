@@ -86,4 +86,4 @@ def by_distinct(df: DataFrame, col: str, out: str, rule: Callable[[Column], Colu
     coded = df.filter(F.col(col).isNotNull()).select(col).distinct().select(col, rule(F.col(col)).alias("_coded"))
     joined = spread_join(df, coded, [col], "left")
     nothing = rule(F.lit(None).cast("string"))
-    return joined.withColumn(out, F.when(F.col(col).isNull(), nothing).otherwise(F.col("_coded"))).drop("_coded")
+    return joined.select(*df.columns, F.when(F.col(col).isNull(), nothing).otherwise(F.col("_coded")).alias(out))
