@@ -83,14 +83,23 @@ def with_fields(fields: list[StructField], more: str) -> StructType:
 
 
 def packed(df: DataFrame, **more: Column) -> DataFrame:
-    """``document``: a struct of all columns, so that none clashes with what an operator adds; then ``more``.
-
-    ``select("document.*")`` gives the columns back.
+    """``document``: a struct of all columns but ``text``, so that none clashes with what an operator adds; then ``text``
+    and ``more``. ``unpacked`` gives the columns back in their order.
     """
-    return df.select(F.struct(*[F.col("`" + c.replace("`", "``") + "`") for c in df.columns]).alias("document"),
+    rest = [_named(c).alias(c) for c in df.columns if c != "text"]
+    unused = "_" * (1 + max(map(len, df.columns)))  # a struct needs a field
+    return df.select(F.struct(F.lit(True).alias(unused), *rest).alias("document"), "text",
                      *[value.alias(name) for name, value in more.items()])
 
 
+def unpacked(df: DataFrame, columns: list[str]) -> DataFrame:
+    return df.select(*[F.col("text") if c == "text" else F.col("document")[c].alias(c) for c in columns])
+
+
+def _named(column: str) -> Column:
+    return F.col("`" + column.replace("`", "``") + "`")
+
+
 def bind(value: Column, use: Callable[[Column], Column]) -> Column:
     """``use(value)`` with the value worked out once."""
     return F.element_at(F.transform(F.array(value), use), 1)

@@ -11,7 +11,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import (bounded_batches, bounded_broadcast, documents, local_forest, packed, sorted_by, stage, text_slices)
+from .common import (bounded_batches, bounded_broadcast, documents, local_forest, packed, sorted_by, stage, text_slices, unpacked)
 from .components import connected_components
 
 WORDS = 5
@@ -421,7 +421,7 @@ def one_per_class(docs: DataFrame, **options) -> DataFrame:
     once = left.join(repeated, "row", "left_anti")
     if not repeated.isEmpty():
         once = once.unionByName(left.join(repeated, "row", "left_semi").dropDuplicates(["row"]))
-    return once.select("document.*")
+    return unpacked(once, docs.columns)
 
 
 def op8_jaccard_join(spark, sf_dir):

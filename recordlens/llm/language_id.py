@@ -150,8 +150,9 @@ def train(df: DataFrame, lang: str = "lang", text: str = "text") -> Prototypes:
 
 
 def predict(df: DataFrame, prototypes: dict[str, np.ndarray], text: str = "text",
-            keep: tuple[str, ...] = ()) -> DataFrame:
-    """Add ``lang_pred``, ``score`` (cosine with the best prototype, 0 to 1) and ``score_bound`` to the ``keep`` columns.
+            keep: tuple[str, ...] = (), keep_text: bool = False) -> DataFrame:
+    """Add ``lang_pred``, ``score`` (cosine with the best prototype, 0 to 1) and ``score_bound`` to the ``keep`` columns,
+    and to the text itself, named ``text``, if ``keep_text`` is set.
 
     ``score_bound`` is what nearly every text with the same number of n-grams, drawn from any of the languages,
     reaches: ``DEVIATIONS`` standard deviations below the expected cosine, those of the draw and of the
@@ -182,12 +183,12 @@ def predict(df: DataFrame, prototypes: dict[str, np.ndarray], text: str = "text"
                 scores[i] = float(min(max(cosines[best], 0.0), 1.0))
                 bounds[i] = float((means * (counts.sum() / np.linalg.norm(counts)) - allowed).min())
             yield pa.RecordBatch.from_arrays(
-                [*(batch.column(i) for i in range(batch.num_columns - 1)), pa.array(langs), pa.array(scores),
-                 pa.array(bounds)],
-                names=[*batch.schema.names[:-1], "lang_pred", "score", "score_bound"])
+                [*batch.columns[:-1], *batch.columns[-1:] * keep_text, pa.array(langs), pa.array(scores), pa.array(bounds)],
+                names=[*batch.schema.names[:-1], *["text"] * keep_text, "lang_pred", "score", "score_bound"])
 
     kept = df.select(*keep, F.col(text).alias("__text"))
-    return kept.mapInArrow(run, with_fields(kept.schema.fields[:-1], "lang_pred string, score double, score_bound double"))
+    return kept.mapInArrow(run, with_fields(
+        kept.schema.fields[:-1], "text string, " * keep_text + "lang_pred string, score double, score_bound double"))
 
 
 def op5_language_id(spark, sf_dir):

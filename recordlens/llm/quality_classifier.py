@@ -11,7 +11,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import bounded_batches, documents, fold, packed, stage, text_slices, with_fields
+from .common import bounded_batches, documents, fold, packed, stage, text_slices, unpacked, with_fields
 
 # Byte classes; UTF-8 bytes above 127 count as lower-case letters.
 LOWER, UPPER, DIGIT, SPACE, NEWLINE, COMMON, PIPE, BANG, SYMBOL = range(9)
@@ -178,8 +178,16 @@ def keep_good(docs: DataFrame, labels: DataFrame, threshold: float = 0.3) -> Dat
     to judge, so that texts are not shuffled. ``docs`` may have any columns besides."""
     stats = stage(add_statistics(docs.filter(fold("doc_id", 5) != 0), "text", ("doc_id",)), "quality")
     model = fit(stats.join(labels.select("doc_id", "quality"), "doc_id"))
-    judged = score(add_statistics(packed(docs, text=F.col("text")), "text", ("document",)), model, ("document",))
-    return judged.filter(F.col("score") >= threshold).select("document.*")
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch, texts in text_slices(batches):
+            x = np.array([statistics(t) for t in texts], float).reshape(len(texts), len(NAMES))
+            value = model.score(x) if model is not None else np.full(len(texts), 0.5)
+            value = np.where([bool(t.strip()) for t in texts], value, 0.0)
+            yield batch.filter(pa.array(value >= threshold))
+
+    bounded_batches(docs.sparkSession)
+    whole = packed(docs)
+    return unpacked(whole.mapInArrow(run, whole.schema), docs.columns)
 
 
 def op4_quality_qda(spark, sf_dir):

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import bind, bounded_broadcast, documents, packed, stage
+from .common import bind, bounded_broadcast, documents, packed, stage, unpacked
 
 WINDOW = 8               # template tokens per window; shorter items are matched as a whole
 LEAST_LITERAL = 4        # windows with fewer ordinary words match by their literal tokens only
@@ -177,7 +177,7 @@ def without_passages(docs: DataFrame, items: DataFrame) -> DataFrame:
     other rows along. ``docs`` may have any columns besides.
     """
     held = stage(matches(docs, items).select("row").distinct(), "held")
-    return packed(docs, row=row_key()).join(bounded_broadcast(held), "row", "left_anti").select("document.*")
+    return unpacked(packed(docs, row=row_key()).join(bounded_broadcast(held), "row", "left_anti"), docs.columns)
 
 
 def row_key() -> Column:
