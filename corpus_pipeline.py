@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from recordlens.llm import jaccard_join, language_id, quality_classifier, sentencepiece_codec, template_decontamination
-from recordlens.llm.common import fold, packed, stage
+from recordlens.llm.common import fold, packed, stage, unpacked
 
 LEAST_LANGUAGE_SCORE = 0.05  # cosine below which a text is like no language, if it is long enough to tell
 LEAST_QUALITY = 0.3
@@ -23,10 +23,10 @@ def known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
     n-grams of a learned language would reach: a short text stays unless its n-grams speak against it.
     """
     prototypes = language_id.train(docs.filter(fold("doc_id", 4) != 2))
-    judged = language_id.predict(packed(docs, text=F.col("text")), prototypes, keep=("document",))
+    judged = language_id.predict(packed(docs), prototypes, keep=("document",), keep_text=True)
     known = (F.col("lang_pred") != "und") & (
         F.col("score") >= F.least(F.lit(LEAST_LANGUAGE_SCORE), F.col("score_bound")))
-    return judged.filter(known).select("document.*")
+    return unpacked(judged.filter(known), docs.columns)
 
 
 def good_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
