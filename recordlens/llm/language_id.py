@@ -10,7 +10,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import bounded_batches, documents, fold, text_slices, with_fields
+from .common import bounded_batches, documents, fold, stage, text_slices, with_fields
 
 DIMENSION = 8192   # components of a hypervector: unrelated ones have cosines of about 1 / sqrt(8192) = 0.011
 CODES = 64         # letter symbols: 0 separates words, others by letter
@@ -127,25 +127,49 @@ def _count_profiles(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatc
             names=["lang", "gram", "n"])
 
 
+def _bundle_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """A task's part of each language's bundle, from its rows of n-gram counts."""
+    totals: dict[str, np.ndarray] = {}
+    for batch in batches:
+        langs, grams = np.array(batch.column(0).to_pylist(), object), batch.column(1).to_numpy()
+        counts = batch.column(2).to_numpy().astype(np.float64)
+        for lang in set(langs):
+            mine = np.flatnonzero(langs == lang)
+            total = totals.setdefault(lang, np.zeros(DIMENSION))
+            for at in range(0, len(mine), BOUND_AT_ONCE):
+                some = mine[at:at + BOUND_AT_ONCE]
+                total += counts[some] @ encoder().bound(grams[some])
+    for lang, total in totals.items():
+        yield pa.RecordBatch.from_arrays([pa.array([lang]), pa.array([total], pa.list_(pa.float64()))], names=["lang", "bundle"])
+
+
 def train(df: DataFrame, lang: str = "lang", text: str = "text") -> Prototypes:
     """Unit prototype of each language, from all rows with a language.
 
-    Tasks count n-grams per language and Spark adds the counts up. What reaches the driver has at most
-    languages x CODES**NGRAM rows, whatever the corpus. Empty input gives no prototypes.
+    Tasks count n-grams per language, Spark adds the counts up, and tasks bundle what they hold of them; sums of whole
+    numbers are exact, so the order of tasks does not matter. The driver gets one hypervector and three sums per language,
+    which every task needs to predict. Empty input gives no prototypes.
     """
     bounded_batches(df.sparkSession)
-    rows = (
+    counts = stage(
         df.filter(F.col(lang).isNotNull()).select(F.col(text).alias("text"), F.col(lang).alias("lang"))
         .mapInArrow(_count_profiles, PROTOTYPE_ROWS)
-        .groupBy("lang", "gram").agg(F.sum("n").alias("n")).toPandas()
-    )
-    enc, prototypes = encoder(), Prototypes()
-    for name, part in sorted(rows.groupby("lang")):
-        share = part["n"].to_numpy() / part["n"].sum()
-        total = enc.bundle(part["gram"].to_numpy(), share)
-        prototypes[name] = total / max(float(np.linalg.norm(total)), 1e-12)
-        mean = float(np.linalg.norm(share))
-        prototypes.spread[name] = mean, math.sqrt(max(float((share ** 3).sum()) / mean ** 2 - mean ** 2, 0.0))
+        .groupBy("lang", "gram").agg(F.sum("n").alias("n")), "n-grams")
+    n = F.col("n").cast("double")
+    sums = {r.lang: r for r in counts.groupBy("lang").agg(
+        F.sum(n).alias("s1"), F.sum(n * n).alias("s2"), F.sum(n * n * n).alias("s3")).collect()}
+    parts = counts.select("lang", "gram", "n").mapInArrow(_bundle_counts, "lang string, bundle array<double>")
+    bundles: dict[str, np.ndarray] = {}
+    for r in parts.select("lang", F.posexplode("bundle").alias("at", "x")).groupBy("lang", "at").agg(
+            F.sum("x").alias("x")).groupBy("lang").agg(F.array_sort(F.collect_list(F.struct("at", "x"))).alias("v")).select(
+            "lang", F.transform("v", lambda e: e["x"]).alias("v")).collect():
+        bundles[r.lang] = np.array(r.v)
+    prototypes = Prototypes()
+    for name in sorted(bundles):
+        total, s = bundles[name], sums[name]
+        prototypes[name] = (total / max(float(np.linalg.norm(total)), 1e-12)).astype(np.float32)
+        mean = math.sqrt(s.s2) / s.s1
+        prototypes.spread[name] = mean, math.sqrt(max(s.s3 / s.s1 ** 3 / mean ** 2 - mean ** 2, 0.0))
     return prototypes
 
 
