@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import base64
 import gzip
+import hashlib
 import io
 from collections.abc import Iterator
 
@@ -103,9 +105,22 @@ def parse_archive(content: bytes) -> Iterator[tuple[dict[str, str], dict[str, st
 
 
 def read_archives(spark: SparkSession, path: str) -> DataFrame:
-    """page_id, url, payload_bytes, payload_digest, record_type, refers_to, stored_bytes per record."""
+    """page_id, url, payload_bytes, payload_digest, record_type, refers_to, stored_bytes per record.
+
+    Size and digest of a response are those of the payload that was read; a header that says otherwise ends the job with an
+    error. A revisit has its original's, from its headers.
+    """
     bounded_batches(spark)
 
+    def stored(head: dict[str, str], http: dict[str, str], payload: bytes) -> tuple[int, str]:
+        stated = int(http["content-length"]), head["warc-payload-digest"].removeprefix("sha1:")
+        if head["warc-type"] == "revisit":
+            return stated
+        found = len(payload), base64.b32encode(hashlib.sha1(payload).digest()).decode()
+        if found != stated:
+            raise ValueError(f"{head['warc-record-id']} does not hold the payload that its headers state")
+        return found
+
     def number(name: str | None) -> int | None:
         text = (name or "").removeprefix("<urn:x-page:").removesuffix(">")
         return int(text) if text else None
@@ -114,8 +129,7 @@ def read_archives(spark: SparkSession, path: str) -> DataFrame:
         names = ["page_id", "url", "payload_bytes", "payload_digest", "record_type", "refers_to", "stored_bytes"]
         for batch in batches:
             for i in range(batch.num_rows):
-                rows = [(number(h["warc-record-id"]), h["warc-target-uri"], int(http["content-length"]),
-                         h["warc-payload-digest"].removeprefix("sha1:"), h["warc-type"],
+                rows = [(number(h["warc-record-id"]), h["warc-target-uri"], *stored(h, http, payload), h["warc-type"],
                          number(h.get("warc-refers-to")), len(payload))
                         for h, http, payload in parse_archive(batch.column(0)[i].as_py())]
                 if not rows:
