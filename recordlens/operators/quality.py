@@ -124,7 +124,8 @@ def not_empty(label: str, df: DataFrame) -> ValueCheck:
 
 def same_ranking(label: str, published: DataFrame, derived: DataFrame) -> EmptyCheck:
     """Both rankings hold the same rows at the same ranks; a failure names table, rank and what differs."""
-    return EmptyCheck(label, differences(published, derived.select(*published.columns), ["table", "rank"]))
+    keys = [c for c in ("table", "rank") if c in published.columns]
+    return EmptyCheck(label, differences(published, derived.select(*published.columns), keys))
 
 
 def free_of(label: str, df: DataFrame, marker: str) -> RowChecks:
