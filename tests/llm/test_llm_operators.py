@@ -153,6 +153,41 @@ def test_wavelet_matrix_answers():
     assert [m.select(7, k) for k in range(3)] == np.flatnonzero(a == 7)[:3].tolist() and m.select(7, 9999) == -1
 
 
+def test_lookups_from_wavelet_files_equal_brute_force(spark, docs, tmp_path):
+    from tokenizers import Tokenizer
+
+    library = Tokenizer.from_file(public_tokenizers.path("word_bpe_49k.json"))
+    table = docs.selectExpr("CASE WHEN doc_id IS NOT NULL THEN row_number() OVER (ORDER BY doc_id, text) END AS doc_id", "text")
+    lists = [(r.doc_id, library.encode(r.text or "", add_special_tokens=False).ids + [1]) for r in table.collect()]
+    path = folder(tmp_path)
+    wavelet_files.write_wavelet_files(table, path)
+    common = max(set(i for _, ids in lists for i in ids) - {1}, key=lambda i: sum(ids.count(i) for _, ids in lists))
+    wanted = [1, common, common, 48_000, 1 << 20]
+    counts = {r.id: r.n for r in wavelet_files.count_ids(spark, path, wanted).collect()}
+    assert counts == {i: sum(ids.count(i) for _, ids in lists) for i in wanted}
+    found = sorted(((r.id, r.doc_id, r.offset) for r in wavelet_files.find_ids(spark, path, wanted).collect()), key=str)
+    assert found == sorted(((i, d, o) for d, ids in lists for o, i in enumerate(ids) if i in wanted), key=str)
+    asked = [(d, o) for d, ids in lists for o in {0, len(ids) // 2, len(ids) - 1, len(ids), -1}] + [(10 ** 9, 0), (1, None)]
+    request = spark.createDataFrame(asked + asked[:3], "doc_id long, offset long")
+    got = sorted((r.doc_id, r.offset, r.id) for r in wavelet_files.ids_at(spark, path, request).collect())
+    assert got == sorted({(d, o, ids[o]) for d, ids in lists if d is not None for a, o in asked
+                          if a == d and o is not None and 0 <= o < len(ids)})
+    assert {r.n_end_ids for r in wavelet_files.read_documents(spark, path).collect()} == {1}
+
+
+def test_wavelet_blocks_open_when_needed(monkeypatch):
+    monkeypatch.setattr(wavelet_files, "PLANE_BLOCK", 64)
+    a = np.random.default_rng(1).integers(0, 70_000, 1000).astype(np.uint32)
+    keys = [None, 3]
+    [shard] = wavelet_files.unpack_shards(memoryview(wavelet_files.pack_shard(2, 5, keys, np.array([400, 600]), a) + b"\n"))
+    assert (shard.part, shard.shard, shard.keys, shard.lengths.tolist()) == (2, 5, keys, [400, 600])
+    assert shard.matrix.access(777) == a[777] and all(len(p.opened) <= 2 for p in shard.matrix.planes)
+    assert (shard.matrix.accesses(np.arange(1000)) == a).all() and (shard.matrix.to_array() == a).all()
+    v = int(a[640])
+    assert shard.matrix.ranks(v, np.arange(1001)).tolist() == [int((a[:e] == v).sum()) for e in range(1001)]
+    assert shard.matrix.selects(v, np.arange((a == v).sum())).tolist() == np.flatnonzero(a == v).tolist()
+
+
 def test_word_cache_when_it_is_cut_back(monkeypatch):
     from tokenizers import Tokenizer
 
