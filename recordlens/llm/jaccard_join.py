@@ -24,6 +24,9 @@ DEEPER = 3.0             # tokens chosen per set below the first level, times 1
 MOST_LEVELS = 5          # buckets that are still large go to block-by-block comparison
 SKETCH = 64              # one-byte minima in a sketch
 SKETCH_LEAST = 40        # equal minima that make a candidate: 3.5 deviations below what the similarity gives
+AUDITED = 256            # texts whose partners are found by brute force, to measure the recall
+AUDIT_CHARS = 20_000     # length of an audited text: bounds what is sent to every task
+MOST_ROUNDS = 8          # rounds of runs before the join gives up on the target
 U = np.uint64
 BASE = U(0x9E3779B97F4A7C15)
 
@@ -77,14 +80,16 @@ def shingles(text: str, words: int = WORDS) -> np.ndarray:
     return np.unique(out)
 
 
-_SKETCH_FACTORS = mix(np.arange(1, SKETCH + 1, dtype=U)) | U(1)
+def sketch_factors(number: int) -> np.ndarray:
+    """Hash functions of a round's sketches."""
+    return mix(np.arange(number * SKETCH + 1, (number + 1) * SKETCH + 1, dtype=U)) | U(1)
 
 
-def sketch(tokens: np.ndarray) -> bytes:
+def sketch(tokens: np.ndarray, factors: np.ndarray) -> bytes:
     """Last byte of the smallest value under each of the sketch's hash functions."""
     least = np.full(SKETCH, ~U(0))
     for at in range(0, len(tokens), 4096):
-        values = tokens[None, at:at + 4096] * _SKETCH_FACTORS[:, None]
+        values = tokens[None, at:at + 4096] * factors[:, None]
         values ^= values >> U(29)
         least = np.minimum(least, (values * U(0xBF58476D1CE4E5B9)).min(axis=1))
     return (mix(least) & U(255)).astype(np.uint8).tobytes()
@@ -102,26 +107,110 @@ def digest(tokens: np.ndarray) -> int:
     return int.from_bytes(hashlib.blake2b(tokens.tobytes(), digest_size=8).digest(), "little", signed=True)
 
 
-def profile(df: DataFrame, text: str, runs: int, words: int, similarity: float) -> DataFrame:
-    """doc_id, row, node (a digest of the shingles; NULL without words), n, sketch, keys (first-level choices)."""
+class Audit:
+    """Shingle sets of a few texts, and which of them a set is similar to, by counting common shingles."""
+
+    def __init__(self, texts: list[str], words: int, similarity: float) -> None:
+        by_node = {digest(s): s for s in (shingles(t, words) for t in texts) if len(s)}
+        sets = list(by_node.values())
+        self.similarity, self.nodes = similarity, np.array(list(by_node), np.int64)
+        self.sizes = np.fromiter(map(len, sets), np.int64, len(sets))
+        tokens = np.concatenate([np.empty(0, U), *sets])
+        order = np.argsort(tokens, kind="stable")
+        self.holders = np.repeat(np.arange(len(sets)), self.sizes)[order]
+        self.tokens, first = np.unique(tokens[order], return_index=True)
+        self.bounds = np.append(first, len(tokens))
+
+    def partners(self, tokens: np.ndarray, node: int) -> list[int]:
+        """Audited nodes other than ``node`` with the similarity or more."""
+        if not len(self.tokens):
+            return []
+        at = np.minimum(np.searchsorted(self.tokens, tokens), len(self.tokens) - 1)
+        at = at[self.tokens[at] == tokens]
+        if not len(at):
+            return []
+        size = self.bounds[at + 1] - self.bounds[at]
+        places = np.arange(int(size.sum())) + np.repeat(self.bounds[at] - np.cumsum(size) + size, size)
+        common = np.bincount(self.holders[places], minlength=len(self.nodes))
+        like = common >= self.similarity * (self.sizes + len(tokens) - common) - 1e-9
+        return self.nodes[like & (self.nodes != node)].tolist()
+
+
+def audit_texts(keyed: DataFrame, audited: int) -> list[str]:
+    """The texts to audit: those with the smallest hashes of their rows, at most ``audited`` of at most AUDIT_CHARS each."""
+    some = keyed.filter(F.length("text").between(1, AUDIT_CHARS)).orderBy(F.xxhash64("row"), "row").limit(audited)
+    return [r.text for r in some.select("text").collect()]
+
+
+def profile(df: DataFrame, runs: range, number: int, words: int, similarity: float, audit: Audit | None = None) -> DataFrame:
+    """doc_id, row, node (a digest of the shingles; NULL without words), n, sketch (that of round ``number``), keys
+    (first-level choices of the runs), audited (audited nodes that are similar).
+    """
+    factors = sketch_factors(number)
+    shared = df.sparkSession.sparkContext.broadcast(audit)  # at most AUDITED texts of AUDIT_CHARS
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        audit = shared.value
         for batch, texts in text_slices(batches):
-            nodes, sizes, sketches, keys = [], [], [], []
+            nodes, sizes, sketches, keys, audited = [], [], [], [], []
             for t in texts:
                 tokens = shingles(t, words)
                 some = len(tokens) > 0
                 nodes.append(digest(tokens) if some else None)
                 sizes.append(len(tokens))
-                sketches.append(sketch(tokens) if some else b"")
-                keys.append(np.concatenate([chosen(tokens, r, 1.0, similarity) for r in range(runs)]) if some else [])
+                sketches.append(sketch(tokens, factors) if some else b"")
+                keys.append(np.concatenate([chosen(tokens, r, 1.0, similarity) for r in runs]) if some else [])
+                audited.append(audit.partners(tokens, nodes[-1]) if some and audit else [])
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), batch.column(1), pa.array(nodes, pa.int64()), pa.array(sizes, pa.int32()),
-                 pa.array(sketches, pa.binary()), pa.array(keys, pa.list_(pa.int64()))],
-                names=["doc_id", "row", "node", "n", "sketch", "keys"])
+                 pa.array(sketches, pa.binary()), pa.array(keys, pa.list_(pa.int64())),
+                 pa.array(audited, pa.list_(pa.int64()))],
+                names=["doc_id", "row", "node", "n", "sketch", "keys", "audited"])
+
+    return df.select("doc_id", "row", "text").mapInArrow(
+        run, "doc_id long, row long, node long, n int, sketch binary, keys array<long>, audited array<long>")
+
 
-    return df.select("doc_id", "row", F.col(text).alias("text")).mapInArrow(
-        run, "doc_id long, row long, node long, n int, sketch binary, keys array<long>")
+def candidates(keyed: DataFrame, nodes: DataFrame, pairs: DataFrame, runs: int, words: int, similarity: float,
+               target_recall: float, small: int, block: int, report: list | None) -> DataFrame:
+    """node, component of the candidate edges: rounds of runs, until the audited texts meet their partners.
+
+    The recall is the share of its partners that lie in an audited text's component, averaged over the audited texts that
+    have any, so that those of large groups count like others. Each round doubles the runs and has a sketch of its own.
+    The audited pairs are edges as well.
+    """
+    edges, done, number = None, 0, 0
+    while True:
+        if number:
+            texts = keyed.join(bounded_broadcast(nodes.select("row")), "row", "left_semi").dropDuplicates(["row"])
+            nodes = stage(profile(texts, range(done, done + runs), number, words, similarity), "nodes-again")
+        found = candidate_edges(keyed, nodes, words, similarity, small, block)
+        edges = found if edges is None else edges.unionByName(found)
+        near = connected_components(edges)
+        recall = audited_recall(near, pairs)
+        done, number = done + runs, number + 1
+        if report is not None:
+            report.append((done, recall))
+        if recall >= target_recall:
+            return near if recall == 1 else connected_components(stars(near).unionByName(pairs))
+        if number == MOST_ROUNDS:
+            raise RuntimeError(f"recall {recall:.4f} of the audited texts after {done} runs, wanted {target_recall}")
+        edges, runs = stars(near), done
+
+
+def stars(near: DataFrame) -> DataFrame:
+    """Edges of the components."""
+    return near.select(F.col("node").alias("a"), F.col("component").alias("b"))
+
+
+def audited_recall(near: DataFrame, pairs: DataFrame) -> float:
+    """Mean share of the partners (b) of an audited node (a) that are in its component; 1 without any pair."""
+    left = near.select(F.col("node").alias("a"), F.col("component").alias("ca"))
+    right = near.select(F.col("node").alias("b"), F.col("component").alias("cb"))
+    met = pairs.join(left, "a", "left").join(right, "b", "left").groupBy("a").agg(
+        F.avg(F.coalesce(F.col("ca") == F.col("cb"), F.lit(False)).cast("int")).alias("met"))
+    share = met.agg(F.avg("met")).first()[0]
+    return 1.0 if share is None else share
 
 
 def grouped(batches: Iterator[pa.RecordBatch], key: int = 0) -> Iterator[pa.Table]:
@@ -352,14 +441,18 @@ def block_edges(rows: DataFrame, similarity: float, block: int) -> DataFrame:
 
 
 def similar_texts(docs: DataFrame, text: str = "text", words: int = WORDS, similarity: float = SIMILARITY,
-                  target_recall: float = TARGET_RECALL, small: int = SMALL, block: int = BLOCK) -> DataFrame:
+                  target_recall: float = TARGET_RECALL, small: int = SMALL, block: int = BLOCK, first_runs: int | None = None,
+                  audited: int = AUDITED, report: list | None = None) -> DataFrame:
     """doc_id, class_id, n_links, row, group per row: links are other rows with a Jaccard similarity of
     ``similarity`` or more. ``row`` is a hash of doc_id and text, ``group`` is the same for all rows of a class.
 
     1. Texts with equal shingle sets become one node with a number of copies.
     2. Each node chooses shingles in several runs; nodes that chose the same one meet in a bucket. A large bucket
        is split by choosing again below it, and one whose sets are all alike is compared block by block.
-       The number of runs follows from the target recall: a run misses a pair with chance 1/e at most.
+       The first round has ``first_runs``, by default from the target recall as if a run missed a pair with chance 1/e.
+       ``audited`` texts (bounded in length too) are compared with all others by brute force, in the pass that reads the
+       texts; while their recall is below the target, rounds with as many runs again and a new sketch follow. After
+       MOST_ROUNDS the join raises an error. ``report`` receives (runs so far, audited recall) per round.
     3. Sizes and sketches turn buckets into candidate edges; their components are compared exactly, every
        pair of a component in one cell. Links are counted there and kept as stars.
 
@@ -369,14 +462,16 @@ def similar_texts(docs: DataFrame, text: str = "text", words: int = WORDS, simil
     """
     spark = docs.sparkSession
     bounded_batches(spark)
-    runs = math.ceil(math.log(1 / (1 - target_recall)))
+    runs = first_runs or math.ceil(math.log(1 / (1 - target_recall)))
     keyed = docs.select("doc_id", F.coalesce(F.col(text), F.lit("")).alias("text")).withColumn(
         "row", F.xxhash64("doc_id", "text"))
-    rows = stage(profile(keyed, "text", runs, words, similarity), "profiles")
+    audit = Audit(audit_texts(keyed, audited), words, similarity)
+    rows = stage(profile(keyed, range(runs), 0, words, similarity, audit), "profiles")
     nodes = stage(rows.filter(F.col("node").isNotNull()).groupBy("node").agg(
         F.count(F.lit(1)).alias("copies"), F.min("doc_id").alias("doc_id"), F.min("row").alias("row"),
         F.any_value("n").alias("n"), F.any_value("sketch").alias("sketch"), F.any_value("keys").alias("keys")), "nodes")
-    near = connected_components(candidate_edges(keyed, nodes, words, similarity, small, block))
+    pairs = stage(rows.select(F.explode("audited").alias("a"), F.col("node").alias("b")).distinct(), "audited-pairs")
+    near = candidates(keyed, nodes, pairs, runs, words, similarity, target_recall, small, block, report)
     members = stage(near.join(nodes.select("node", "row", "copies"), "node"), "candidates")
     sizes = members.groupBy("component").agg(F.count(F.lit(1)).alias("size"))
     sets = token_sets(keyed, members, words)

@@ -302,6 +302,40 @@ def test_similarity_join_equals_brute_force(spark, small, block):
     assert jaccard_join.similar_texts(table.limit(0)).count() == 0
 
 
+def test_similarity_join_adds_runs_until_the_audit_is_met(spark):
+    rng, rows = random.Random(9), []
+    for _ in range(60):  # pairs with a similarity of little more than 0.8, each on its own
+        words = ["".join(rng.choices("abcdefgh", k=6)) for _ in range(100)]
+        copy = list(words)
+        copy[rng.randrange(4, 6)] = "x"
+        copy[-5] = "y"
+        rows += [(len(rows), " ".join(words)), (len(rows) + 1, " ".join(copy))]
+    table = spark.createDataFrame(rows, "doc_id long, text string")
+    report = []
+    got = jaccard_join.similar_texts(table, first_runs=1, report=report).collect()
+    assert sorted(((r.doc_id, r.class_id, r.n_links) for r in got), key=str) == brute_force(rows)
+    assert len(report) > 1 and report[0][0] == 1 and report[0][1] < 0.999 <= report[-1][1]
+    assert all(b[0] == 2 * a[0] for a, b in zip(report, report[1:]))
+    alone = []
+    jaccard_join.similar_texts(table.filter("doc_id % 2 = 0"), report=alone).collect()
+    assert alone == [(7, 1.0)]
+
+
+def test_audit_finds_what_brute_force_finds():
+    rng = random.Random(3)
+    base = [rng.choices(WORDS, k=40) for _ in range(6)]
+    texts = [" ".join(w[:rng.randrange(30, 41)]) for w in base for _ in range(5)] + ["", "one two"]
+    sets = {jaccard_join.digest(s): set(s.tolist()) for s in map(jaccard_join.shingles, texts) if len(s)}
+    audit = jaccard_join.Audit(texts[::2], 5, 0.8)
+    for t in texts:
+        tokens = jaccard_join.shingles(t)
+        if len(tokens):
+            node, own = jaccard_join.digest(tokens), set(tokens.tolist())
+            assert sorted(audit.partners(tokens, node)) == sorted(
+                n for n in audit.nodes.tolist() if n != node and len(own & sets[n]) >= 0.8 * len(own | sets[n]) - 1e-9)
+    assert jaccard_join.Audit([], 5, 0.8).partners(jaccard_join.shingles("a b c"), 1) == []
+
+
 def test_components_of_chains_and_hubs(spark):
     edges = [(i, i + 1) for i in range(60)] + [(1000, 1000 + i) for i in range(1, 300)] + [(None, 4), (7, 7), (5000, 5000)]
     got = {r.node: r.component for r in components.connected_components(spark.createDataFrame(edges, "a long, b long")).collect()}
