@@ -15,11 +15,9 @@ PARTS = 256        # folders that the rows are dealt over by id; a search reads
 
 
 def _grams(text: Column, size: int) -> Column:
-    """Distinct runs of ``size`` characters."""
-    last = F.char_length(text) - size
-    return F.when(last >= 0, F.array_distinct(F.transform(
-        F.sequence(F.lit(1), F.greatest(last, F.lit(0)) + 1), lambda i: F.substr(text, i, F.lit(size))))).otherwise(
-        F.array().cast("array<string>"))
+    """Distinct runs of ``size`` characters. The pattern moves on by one character a match: to cut a run out by its place
+    would walk the text up to there each time."""
+    return F.array_distinct(F.regexp_extract_all(text, F.lit(f"(?s)(?=(.{{{size}}}))."), F.lit(1)))
 
 
 @dataclass(frozen=True)
@@ -32,15 +30,17 @@ class SearchIndex:
     def build(self, df: DataFrame, fields: Sequence[str]) -> None:
         """List every run of 2 and 3 characters of the joined, lower-case fields, and store the rows with that text.
 
-        Lists lie in order of their run, so that a search reads the row groups of its own runs; a long list is cut over
-        tasks by id.
+        The lists of a folder's rows are one file in order of their run, made by a task of its own: only texts are
+        shuffled, never their runs, a long list is cut over all files, and a search reads the pages of its own runs. The
+        text counts for the folder too, so that rows with one id are dealt over many.
         """
-        rows = df.withColumns({"_text": haystack(*fields), "_part": F.pmod(F.xxhash64(self.ident), F.lit(PARTS)).cast("int")})
-        rows.repartition(F.col("_part")).write.partitionBy("_part").parquet(f"{self.path}/rows")
-        stored = df.sparkSession.read.parquet(f"{self.path}/rows")
+        rows = df.withColumn("_text", haystack(*fields)).withColumn(
+            "_part", F.pmod(F.xxhash64(self.ident, "_text"), F.lit(PARTS)).cast("int"))
+        rows.repartitionById(PARTS, "_part").write.partitionBy("_part").parquet(f"{self.path}/rows")
+        stored = df.sparkSession.read.parquet(f"{self.path}/rows").select(F.col(self.ident).alias("id"), "_text", "_part")
         grams = F.concat(*[_grams(F.col("_text"), n) for n in SIZES])
-        listed = stored.select(F.explode(grams).alias("gram"), F.col(self.ident).alias("id"), "_part")
-        listed.repartitionByRange("gram", "id").sortWithinPartitions("gram", "id").write.parquet(f"{self.path}/lists")
+        listed = stored.repartitionById(PARTS, "_part").select(F.explode(grams).alias("gram"), "id", "_part")
+        listed.sortWithinPartitions("gram", "id").write.parquet(f"{self.path}/lists")
         lists = df.sparkSession.read.parquet(f"{self.path}/lists")
         lists.groupBy("gram").agg(F.count(F.lit(1)).alias("n")).sort("gram").write.parquet(f"{self.path}/grams")
 
