@@ -195,12 +195,13 @@ def gate_document_damaged(spark, sf_dir):
     """A document with damaged rows, another count, other colours and its fields in another order, written and audited."""
     ins = _merged(spark, sf_dir)
     cache = materialise(_cache(ins))
+    latest = materialise(publish.located_latest(ins, cache))
     size = F.length("n")
-    rows = publish.map_rows(ins, cache).drop(publish.KEY).withColumns({
+    rows = publish.map_rows(ins, cache, latest).drop(publish.KEY).withColumns({
         "s": F.when(size % 5 == 0, 0).otherwise(F.col("s")),
         "d": F.when(size % 7 == 0, "1990-01-01").when(size % 7 == 1, "2990-01-01").otherwise(F.col("d")),
         "a": F.when(size % 11 == 0, F.concat("a", F.lit(" CFM"))).otherwise(F.col("a"))})
-    header = publish.map_header(ins, cache).withColumns({
+    header = publish.map_header(ins, cache, latest).withColumns({
         "n_mapped": F.col("n_mapped") + 1, "buckets": F.reverse("buckets")})
     path = _new_path(spark, "map")
     mixed = rows.select(*reversed(rows.columns))
