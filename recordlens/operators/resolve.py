@@ -145,8 +145,8 @@ def strict_winner(
     so no window ever sees a whole block.
     """
     a_sets = stage(_event_sets(a, a_id, events.a, events.on))
-    a_classes = _classes(a_sets, a_id)
-    b_classes = _classes(_event_sets(b, b_id, events.b, events.on), b_id)
+    a_classes = stage(_classes(a_sets, a_id))
+    b_classes = stage(_classes(_event_sets(b, b_id, events.b, events.on), b_id))
     best = (
         _shared_by_class(a_classes, b_classes, min_shared)
         .groupBy("block", "a_rep", "shared")
@@ -195,9 +195,9 @@ def tier_match(
         a_id, "_tier", b_id, "n_shared_events", F.lit("resolved_by_events").alias("confidence"),
         F.concat(label, F.lit("+events")).alias("match_method"),
     )
-    matched = dedupe_prefer(_union([exact, by_events]), [a_id], ["_tier", b_id]).select(
+    matched = stage(dedupe_prefer(_union([exact, by_events]), [a_id], ["_tier", b_id]).select(
         a_id, b_id, "match_method", "confidence", "n_shared_events"
-    )
+    ))
     unresolved = several.join(matched.select(a_id), a_id, "left_anti").select(
         a_id, label.alias("tier"), "block", "n_candidates"
     )
@@ -279,8 +279,8 @@ def corroborated_match(
     by_name = spread_join(ka, named, ["block", "a_name"])
 
     a_sets = stage(_event_sets(ka.select(a_id, "block"), a_id, events.a, events.on))
-    a_classes = _classes(a_sets, a_id)
-    b_classes = _classes(_event_sets(kb.select(b_id, "block"), b_id, events.b, events.on), b_id)
+    a_classes = stage(_classes(a_sets, a_id))
+    b_classes = stage(_classes(_event_sets(kb.select(b_id, "block"), b_id, events.b, events.on), b_id))
     per_class = (
         _shared_by_class(a_classes, b_classes, min_shared)
         .groupBy("block", "a_rep")
@@ -306,7 +306,7 @@ def corroborated_match(
 def handoff_merge(
     unresolved: DataFrame, members: DataFrame, a_info: DataFrame, b_info: DataFrame,
     a_id: str, b_id: str, guard: str, label: str, first: str, last: str,
-    min_gap: int = V.HANDOFF_MIN_GAP_DAYS,
+    min_gap: int = V.HANDOFF_MIN_GAP_DAYS, stage: Stage = materialise,
 ) -> tuple[DataFrame, DataFrame]:
     """Attach an A to the live one of several Bs that follow each other in time.
 
@@ -316,7 +316,8 @@ def handoff_merge(
 
     Spans with a gap of ``min_gap`` days between neighbours cannot number more than the
     block's whole span divided by that gap, plus one. Bigger groups are ruled out by that
-    count alone, so the ordered window only ever sees short groups.
+    count alone, so the ordered window only ever sees short groups. These groups and the matches,
+    which the merges read again, are written once by ``stage``.
     """
     key = ["block", guard]
     spans = members.join(b_info.select(b_id, guard, first, last), b_id).filter(
@@ -328,7 +329,7 @@ def handoff_merge(
         .filter((F.col("_n") >= 2)
                 & ((F.col("_n") - 1) * max(min_gap, 1) <= F.datediff("_hi", "_lo")))
     )
-    kept = spread_join(spans, feasible.select(*key), key, "left_semi")
+    kept = stage(spread_join(spans, feasible.select(*key), key, "left_semi"))
     previous = F.lag(last).over(Window.partitionBy(*key).orderBy(asc(first), asc(b_id)))
     chains = (
         kept.withColumn("_gap", F.datediff(F.col(first), previous))
@@ -338,7 +339,7 @@ def handoff_merge(
         .filter((F.col("gap_days") > 0) & (F.col("gap_days") >= min_gap))
     )
     waiting = unresolved.select(a_id, "block").join(a_info.select(a_id, guard, label), a_id)
-    taken = spread_join(waiting, chains, key)
+    taken = stage(spread_join(waiting, chains, key))
     matches = taken.select(
         a_id, F.col("_live").alias(b_id), F.lit("handoff").alias("match_method"),
         F.lit("retired_permit_handoff").alias("confidence"),
