@@ -64,3 +64,11 @@ def test_merges_read_the_chains_that_the_matches_found(spark):
     assert sum(p.count("lag(") for p in stage.plans) == 1
     assert sorted((r.a, r.b) for r in matches.collect()) == [("p1", "f2"), ("p2", "f2")]
     assert [(r.old_id, r.new_id, r.business) for r in merges.collect()] == [("f1", "f2", "Owl")]
+
+
+def test_a_report_reads_the_crosswalk_once(spark):
+    rows = [("matched", "t", "exact")] * 5 + [("unmatched", None, None)] * 3
+    report = R.match_report(spark.createDataFrame(rows, "status string, match_method string, confidence string"))
+    assert "scalar-subquery" not in _plan(report)
+    assert [(r.status, r.n, r.pct) for r in report.collect()] == [("matched", 5, 62.5), ("unmatched", 3, 37.5)]
+    assert R.match_report(spark.createDataFrame([], "status string, match_method string, confidence string")).count() == 0
