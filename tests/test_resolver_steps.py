@@ -3,6 +3,7 @@
 from pyspark.sql import functions as F
 
 from recordlens.operators import resolve as R
+from recordlens.operators import select as S
 from recordlens.session import materialise
 
 
@@ -72,3 +73,11 @@ def test_a_report_reads_the_crosswalk_once(spark):
     assert "scalar-subquery" not in _plan(report)
     assert [(r.status, r.n, r.pct) for r in report.collect()] == [("matched", 5, 62.5), ("unmatched", 3, 37.5)]
     assert R.match_report(spark.createDataFrame([], "status string, match_method string, confidence string")).count() == 0
+
+
+def test_a_profile_carries_each_column_once(spark):
+    df = spark.createDataFrame([("k", 2, "b", "x"), ("k", 1, "c", None), ("k", 1, "b", "y"), ("k", None, "a", "z"), ("l", None, None, "w")],
+                               "k string, d int, name string, city string")
+    profile = S.entity_profile(df, "k", {"first": "name", "town": "city", "again": "name"}, "d", ["d", "name"])
+    assert "min_by" not in _plan(profile)
+    assert sorted(tuple(r) for r in profile.collect()) == [("k", "b", "y", "b", 1, 2, 4), ("l", None, "w", None, None, None, 1)]
