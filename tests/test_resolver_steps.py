@@ -2,6 +2,8 @@
 
 from pyspark.sql import functions as F
 
+from recordlens.fixed_values import CITIES, CITY_SPELLING, NAME_PREFIX_CITY
+from recordlens.functions.address import clean_city, derive_city
 from recordlens.operators import resolve as R
 from recordlens.operators import select as S
 from recordlens.session import materialise
@@ -81,3 +83,18 @@ def test_a_profile_carries_each_column_once(spark):
     profile = S.entity_profile(df, "k", {"first": "name", "town": "city", "again": "name"}, "d", ["d", "name"])
     assert "min_by" not in _plan(profile)
     assert sorted(tuple(r) for r in profile.collect()) == [("k", "b", "y", "b", 1, 2, 4), ("l", None, "w", None, None, None, 1)]
+
+
+def test_a_city_is_looked_for_once(spark):
+    prefix, place = next((k, v) for k, v in NAME_PREFIX_CITY.items() if v != "Austin")
+    texts = [f"12 Main St{mark}{city}" for city in CITIES for mark in (" ", ", ") for city in (city, city.upper(), city.lower())]
+    texts += ["1 A St Austin\u0085", "1 A St  AUSTIN \n", "1 Austin Ave", "Austinn", "", None, "1 B St, West  Lake Hills"]
+    df = spark.createDataFrame([(t, n) for t in texts for n in (f"{prefix} - Owl", "Owl", None)], "address string, name string")
+    got = df.select("address", "name", derive_city("address", "name").alias("city"))
+    assert _plan(got).count("West Lake Hills|") == 1
+    for r in got.collect():
+        ends = [c for c in CITIES if " ".join((r.address or "").lower().split()).endswith(c.lower())]
+        code = place if r.name and r.name.startswith(prefix) else "Austin"
+        assert r.city == (CITY_SPELLING.get(ends[0], ends[0]) if ends else code), r
+    cities = spark.createDataFrame([(c,) for c in CITIES], "c string").select("c", clean_city("c").alias("clean"))
+    assert all(r.clean == CITY_SPELLING.get(r.c, r.c) for r in cities.collect())
