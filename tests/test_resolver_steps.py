@@ -55,6 +55,20 @@ def test_corroboration_gathers_event_sets_once_per_side(spark):
     assert [(r.a, r.b, r.n_shared_events) for r in got.collect()] == [("p1", "f1", 3)]
 
 
+def test_the_last_plan_of_corroboration_holds_no_step_that_found_matches(spark):
+    """The counts read the matches three times; the driver held all steps as often, in one plan."""
+    a, b, events = _sides(spark)
+    stage = Staged()
+    named = lambda df, name: df.withColumn("n", F.lit(name))
+    got = R.corroborated_match(named(a, "owl"), named(b, "owls"), "a", "b", ("name", "num"), "n", "n", events, min_shared=3,
+                               stage=stage)
+    steps = ("explode(_parts", "array_intersect(", "row_number(")
+    assert not [s for s in steps if s in _plan(got)]
+    assert [sum(p.count(s) for p in stage.plans) for s in steps] == [2, 1, 2]
+    assert not [p for p in stage.plans if "explode(_parts" in p and "array_intersect(" in p]
+    assert [tuple(r) for r in got.collect()] == [("p3", "f5", "street+zip+name_corroborated", "address+name_containment", 0)]
+
+
 def test_merges_read_the_chains_that_the_matches_found(spark):
     day = lambda c: F.col(c).cast("date").alias(c)
     b = spark.createDataFrame([("f1", "1", "2020-01-01", "2020-02-01"), ("f2", "1", "2022-01-01", "2022-02-01")],
